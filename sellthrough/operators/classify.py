@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sellthrough import schemas as S
 from sellthrough.functions import is_week_end, parse_count, parse_date, parse_money, round_count, round_money, strip_text
 from sellthrough.operators.joins import join_bounded
+from sellthrough.sources.layout import raw_map
 
 NO_WEEK = "0001-01-01"      # a file without a week in its name counts as the oldest
 
@@ -71,4 +72,4 @@ def annotate(raw: DataFrame, files: DataFrame, loads: DataFrame, files_bound: in
         "load_id", "source_file", "file_week", "status", "reject_reason", "week_date", "client_id", "retailer_id",
         "product_level", *S.KEY_COLUMNS, "sales", "inventory",
         F.when(F.col("missing_columns") != "", F.col("missing_columns")).alias("missing_columns"), "layout_error",
-        F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"))
+        F.when(F.col("reject_reason").isNotNull(), raw_map()).alias("raw"))

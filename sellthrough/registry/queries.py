@@ -599,7 +599,7 @@ def feed_files_matched(spark, sf):
 # ---- whole loads ----------------------------------------------------------------------------------------------------
 
 def _warehouse(spark, sf) -> Warehouse:
-    wh = Warehouse(spark, work_folder(spark, "warehouse")).create()
+    wh = Warehouse(spark, work_folder(spark, "warehouse"))
     everything = base.feeds(spark, sf).withColumn("is_active", F.lit(True))
     wh.replace_dimensions(client=base.clients(spark, sf), retailer=base.retailers(spark, sf),
                           product=base.products(spark, sf), product_stm=base.stm(spark, sf), pipeline_config=everything)

@@ -60,7 +60,7 @@ MONEY = T.DecimalType(18, 2)
 
 TYPES = {"string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
          "smallint": T.ShortType(), "bigint": T.LongType(), "decimal(18,2)": MONEY, "decimal(10,2)": T.DecimalType(10, 2),
-         "map<string,string>": T.MapType(T.StringType(), T.StringType())}
+         "array<string>": T.ArrayType(T.StringType()), "map<string,string>": T.MapType(T.StringType(), T.StringType())}
 
 
 def table_schema(text: str) -> T.StructType:
@@ -70,8 +70,8 @@ def table_schema(text: str) -> T.StructType:
 
 
 RAW_FEED = table_schema("""source_file string, week_date string, client_id string, retailer_id string, product_id string,
-    style string, color string, size string, sales string, inventory string, raw map<string,string>,
-    layout_error string""")
+    style string, color string, size string, sales string, inventory string, raw_names array<string>,
+    raw_cells array<string>, layout_error string""")
 
 PIPELINE_CONFIG = table_schema("""pipeline_id string, client_id string, retailer_id string, product_level string,
     source_type string, source_location string, file_format string, schedule string, lookback_weeks smallint,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sellthrough import schemas as S
@@ -58,14 +59,15 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.folder.rstrip('/')}/{table}"
 
-    def create(self) -> Warehouse:
-        """Make missing tables, empty; existing ones are left alone."""
-        for table, (schema, _) in TABLES.items():
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
-        return self
-
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table][0]).parquet(self.path(table))
+        """The table's rows; none while nothing was written."""
+        schema = TABLES[table][0]
+        try:
+            return self.spark.read.schema(schema).parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def batch(self, table: str, batch_id: str) -> DataFrame:
         """One batch's rows; only its partition is read."""

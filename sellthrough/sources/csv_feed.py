@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_header
 from sellthrough.operators.joins import join_bounded
-from sellthrough.sources.layout import ambiguous, empty_feed, from_cells
+from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells, unique_names
 
 
 def _header_cells(uri: str) -> list[str]:
@@ -38,12 +38,14 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def csv_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_file, names, layout_error): the standard column names of every file, in file order."""
+    """(source_file, names, positions, layout_error): the standard column names of every file, in file order, and where
+    the needed ones stand."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     names = files.select(F.col("_metadata.file_path").alias("source_file"))
     tasks = min(max(1, len(paths) // 8), 1000)
     return (names.repartition(tasks).mapInPandas(_read_headers, "source_file string, names array<string>")
-            .withColumn("layout_error", ambiguous(F.col("names"))))
+            .withColumns({"layout_error": ambiguous(F.col("names")), "positions": column_positions(F.col("names")),
+                          "names": unique_names(F.col("names"))}))
 
 
 def read_csv_feed(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
@@ -58,5 +60,5 @@ def read_csv_feed(spark: SparkSession, paths: list[str], multiline: bool = False
     rows = (spark.read.schema(", ".join(f"{c} string" for c in cells))
             .options(header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8")
             .csv(paths)
-            .select(F.col("_metadata.file_path").alias("source_file"), F.array(*cells).alias("cells")))
+            .select(F.col("_metadata.file_path").alias("source_file"), F.array(*[F.coalesce(c, F.lit("")) for c in cells]).alias("cells")))
     return from_cells(join_bounded(rows, layouts, "source_file", "inner", files))

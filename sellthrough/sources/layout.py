@@ -13,22 +13,34 @@ def ambiguous(names: Column) -> Column:
     return F.when(F.size(twice) > 0, F.concat(F.lit("two columns mean "), F.array_join(twice, ", ")))
 
 
+def column_positions(names: Column) -> Column:
+    """Index of each FEED_COLUMNS name among a file's names, NULL where the layout lacks it."""
+    at = [F.array_position(names, F.lit(c)).cast("int") for c in FEED_COLUMNS]
+    return F.array(*[F.when(p > 0, p - 1) for p in at])
+
+
+def unique_names(names: Column) -> Column:
+    """Repeated or empty names get their position appended, so that they can key a map."""
+    return F.transform(names, lambda n, i: F.when(
+        (n == "") | (F.array_position(names, n) != i + 1), F.concat(n, F.lit("_"), (i + 1).cast("string"))).otherwise(n))
+
+
 def from_cells(rows: DataFrame) -> DataFrame:
-    """Rows of (source_file, names, cells, layout_error): pick the standard columns by position.
+    """Rows of (source_file, names, positions, cells, layout_error): pick the standard columns by position.
+
+    Names and positions are worked out once per file. A column the layout lacks stays NULL. A row has at least as many
+    cells as its file has names, missing ones being ''."""
+    def pick(i: int) -> Column:
+        at = F.get("positions", F.lit(i))
+        return F.when(at.isNotNull(), F.get("cells", at)).alias(FEED_COLUMNS[i])
+
+    return rows.select("source_file", *[pick(i) for i in range(len(FEED_COLUMNS))], F.col("names").alias("raw_names"),
+                       F.col("cells").alias("raw_cells"), "layout_error")
 
-    A column the layout lacks stays NULL, a short row's missing cells are ''. The map of all raw cells is an expression
-    like the others: a plan that does not ask for it never builds it."""
-    def pick(name: str) -> Column:
-        at = F.array_position("names", name).cast("int")
-        return F.when(at > 0, F.coalesce(F.get("cells", at - 1), F.lit(""))).alias(name)
 
-    # Cells beyond the header have no name; cells a short row lacks read as ''. Repeated or empty header names get
-    # their position appended, as map keys must differ.
-    labels = F.transform("names", lambda n, i: F.when(
-        (n == "") | (F.array_position("names", n) != i + 1), F.concat(n, F.lit("_"), (i + 1).cast("string"))).otherwise(n))
-    values = F.transform("names", lambda n, i: F.coalesce(F.get("cells", i), F.lit("")))
-    return rows.select("source_file", *[pick(c) for c in FEED_COLUMNS],
-                       F.map_from_arrays(labels, values).alias("raw"), "layout_error")
+def raw_map() -> Column:
+    """The raw cells of a row by name, for rejects. Cells beyond the header have no name and are left out."""
+    return F.map_from_arrays("raw_names", F.slice("raw_cells", F.lit(1), F.size("raw_names")))
 
 
 def from_records(rows: DataFrame) -> DataFrame:
@@ -37,7 +49,8 @@ def from_records(rows: DataFrame) -> DataFrame:
         return (F.when(F.array_contains("columns", name), F.coalesce(F.try_element_at("record", F.lit(name)), F.lit("")))
                 .alias(name))
 
-    return rows.select("source_file", *[pick(c) for c in FEED_COLUMNS], F.col("record").alias("raw"), "layout_error")
+    return rows.select("source_file", *[pick(c) for c in FEED_COLUMNS], F.map_keys("record").alias("raw_names"),
+                       F.map_values("record").alias("raw_cells"), "layout_error")
 
 
 def empty_feed(spark) -> DataFrame:

@@ -15,7 +15,7 @@ def dropped_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows, newest, week = base.sell_rows(spark, sf), base.newest_week(spark, sf), F.col("week_date")
     older = F.when(week <= F.date_sub(newest, 7), F.struct(F.date_sub(newest, 7).alias("file_week"), F.col("sales").alias("sales")))
     newer = F.when(week >= F.date_sub(newest, 28), F.struct(newest.alias("file_week"), base.restated(F.col("sales")).alias("sales")))
-    drops = rows.withColumn("drop", F.explode(F.array_compact(F.array(older, newer))))
+    drops = rows.withColumn("drop", F.explode(F.array(older, newer))).filter("drop IS NOT NULL")
     return drops.withColumns({"file_week": F.col("drop.file_week"), "sales": F.col("drop.sales")}).drop("drop")
 
 
@@ -57,9 +57,8 @@ def raw_feed(spark: SparkSession, sf: str) -> DataFrame:
                           .otherwise(F.format_number("inventory", 0))),
     }
     made = rows.select(file_name(F.col("file_week")).alias("source_file"), *[c.alias(n) for n, c in columns.items()])
-    raw = F.map_from_arrays(F.array(*[F.lit(c) for c in S.FEED_COLUMNS]), F.array(*S.FEED_COLUMNS))
-    raw = F.map_filter(raw, lambda _, v: v.isNotNull())
-    return made.select("source_file", *S.FEED_COLUMNS, raw.alias("raw"), F.lit(None).cast("string").alias("layout_error"))
+    return made.select("source_file", *S.FEED_COLUMNS, F.array(*[F.lit(c) for c in S.FEED_COLUMNS]).alias("raw_names"),
+                       F.array(*S.FEED_COLUMNS).alias("raw_cells"), F.lit(None).cast("string").alias("layout_error"))
 
 
 def files(spark: SparkSession, sf: str) -> DataFrame:
