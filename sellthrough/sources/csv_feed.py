@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_header
 from sellthrough.operators.joins import join_bounded
-from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells, unique_names
+from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells
 
 
 def _header_cells(uri: str) -> list[str]:
@@ -44,8 +44,7 @@ def csv_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
     names = files.select(F.col("_metadata.file_path").alias("source_file"))
     tasks = min(max(1, len(paths) // 8), 1000)
     return (names.repartition(tasks).mapInPandas(_read_headers, "source_file string, names array<string>")
-            .withColumns({"layout_error": ambiguous(F.col("names")), "positions": column_positions(F.col("names")),
-                          "names": unique_names(F.col("names"))}))
+            .withColumns({"layout_error": ambiguous(F.col("names")), "positions": column_positions(F.col("names"))}))
 
 
 def read_csv_feed(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_name
+from sellthrough.schemas import FEED_COLUMNS
 from sellthrough.sources.layout import ambiguous, empty_feed, from_records
 
 PAGE = "struct<data:array<map<string,string>>,next_cursor:bigint,total:bigint>"
@@ -16,21 +17,16 @@ def _whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _explode_records(rows: DataFrame) -> DataFrame:
-    """(source_file, records array<map>) to raw feed rows. Column presence is decided per file, over all its records."""
+    """(source_file, records array<map>) to raw feed rows.
+
+    Which header of the document means which standard column is settled once per document; a record then takes one map
+    lookup per column."""
     headers = F.array_distinct(F.flatten(F.transform("records", lambda r: F.map_keys(r))))
-    names = F.transform(headers, lambda h: standard_name(h))
-    named = (rows.withColumn("columns", names).withColumn("layout_error", ambiguous(F.col("columns")))
-             .select("source_file", "columns", "layout_error", F.explode("records").alias("rec")))
-
-    def entry(e: Column) -> Column:
-        return F.struct(standard_name(e["key"]).alias("key"), F.coalesce(e["value"], F.lit("")).alias("value"))
-
-    entries = F.transform(F.map_entries("rec"), entry)
-    keys = F.transform(entries, lambda e: e["key"])
-    # Map keys must differ; two headers on one needed column refuse the file anyway (layout_error).
-    first = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    record = F.map_from_entries(first)
-    return from_records(named.withColumn("record", record).drop("rec"))
+    named = rows.withColumn("headers", headers).withColumn("names", F.transform("headers", lambda h: standard_name(h)))
+    at = [F.array_position("names", F.lit(c)).cast("int") for c in FEED_COLUMNS]
+    own = F.array(*[F.when(p > 0, F.get("headers", p - 1)) for p in at])
+    return from_records(named.withColumns({"own": own, "layout_error": ambiguous(F.col("names"))}).select(
+        "source_file", "own", "layout_error", F.explode("records").alias("record")))
 
 
 def json_records(rows: DataFrame) -> DataFrame:

@@ -3,14 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sellthrough.functions.text import standard_name
 from sellthrough.schemas import FEED_COLUMNS, RAW_FEED
 
 
 def ambiguous(names: Column) -> Column:
     """Error text when two headers of a file mean the same standard column, else NULL."""
-    twice = F.filter(F.array_distinct(names), lambda n: F.size(F.filter(names, lambda m: m == n)) > 1)
-    twice = F.filter(twice, lambda n: n.isin(*FEED_COLUMNS))
-    return F.when(F.size(twice) > 0, F.concat(F.lit("two columns mean "), F.array_join(twice, ", ")))
+    twice = F.concat_ws(", ", *[F.when(F.size(names) - F.size(F.array_remove(names, c)) > 1, F.lit(c)) for c in FEED_COLUMNS])
+    return F.when(twice != "", F.concat(F.lit("two columns mean "), twice))
 
 
 def column_positions(names: Column) -> Column:
@@ -39,17 +39,20 @@ def from_cells(rows: DataFrame) -> DataFrame:
 
 
 def raw_map() -> Column:
-    """The raw cells of a row by name, for rejects. Cells beyond the header have no name and are left out."""
-    return F.map_from_arrays("raw_names", F.slice("raw_cells", F.lit(1), F.size("raw_names")))
+    """The raw cells of a row by standard name, for rejects. Cells beyond the header have no name and are left out."""
+    names = unique_names(F.transform("raw_names", lambda n: standard_name(n)))
+    return F.map_from_arrays(names, F.slice("raw_cells", F.lit(1), F.size("raw_names")))
 
 
 def from_records(rows: DataFrame) -> DataFrame:
-    """Rows of (source_file, columns, record map by standard name, layout_error): pick the standard columns."""
-    def pick(name: str) -> Column:
-        return (F.when(F.array_contains("columns", name), F.coalesce(F.try_element_at("record", F.lit(name)), F.lit("")))
-                .alias(name))
+    """Rows of (source_file, own, record, layout_error): pick the standard columns by the document's own header for each
+    (`own`, in FEED_COLUMNS order, NULL where no record has one)."""
+    def pick(i: int) -> Column:
+        header = F.get("own", F.lit(i))
+        return (F.when(header.isNotNull(), F.coalesce(F.try_element_at("record", header), F.lit("")))
+                .alias(FEED_COLUMNS[i]))
 
-    return rows.select("source_file", *[pick(c) for c in FEED_COLUMNS], F.map_keys("record").alias("raw_names"),
+    return rows.select("source_file", *[pick(i) for i in range(len(FEED_COLUMNS))], F.map_keys("record").alias("raw_names"),
                        F.map_values("record").alias("raw_cells"), "layout_error")
 
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_header
-from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells, unique_names
+from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells
 
 HEADER_SEARCH_ROWS = 10
 CHUNK_ROWS = 5000
@@ -143,8 +143,7 @@ def decode_workbooks(books: DataFrame) -> DataFrame:
     """(source_file, content binary) to raw feed rows."""
     rows = books.select("source_file", "content").mapInPandas(_decode, SHEET_ROWS)
     return from_cells(rows.withColumns({
-        "layout_error": F.coalesce("header_error", ambiguous(F.col("names"))), "positions": column_positions(F.col("names")),
-        "names": unique_names(F.col("names"))}))
+        "layout_error": F.coalesce("header_error", ambiguous(F.col("names"))), "positions": column_positions(F.col("names"))}))
 
 
 def read_workbook_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
