@@ -24,31 +24,36 @@ def source_rows(landing: DataFrame) -> DataFrame:
     return plain.select(S.PRESTAGE.names).unionByName(rollup(landing))
 
 
-def source_key(level: S.Level) -> Column:
-    """Key columns as one text; NULL if any part is."""
-    parts = [p for k in level.keys for p in (F.lit("|"), F.col(k))][1:]
-    return F.concat(*parts)
+def source_key() -> Column:
+    """The level's key columns as one text; NULL if any part is."""
+    def text(level: S.Level) -> Column:
+        return F.concat(*[p for k in level.keys for p in (F.lit("|"), F.col(k))][1:])
+    return _by_level(text)
+
+
+def _by_level(value) -> Column:
+    return F.coalesce(*[F.when(F.col("product_level") == level.name, value(level)) for level in S.LEVELS.values()])
+
+
+def _join_keys(stm: bool) -> list[Column]:
+    """Three key parts that fit every level: its own columns, then '' where it has fewer. A NULL part never matches."""
+    def part(level: S.Level, i: int) -> Column:
+        if i >= len(level.keys):
+            return F.lit("")
+        return F.col("src_product_id" if stm and level.name == "serial" else level.keys[i])
+    return [_by_level(lambda level, i=i: part(level, i)).alias(f"key{i}") for i in range(3)]
 
 
 def map_products(source: DataFrame, stm: DataFrame) -> DataFrame:
-    """Left join to the source-to-target mapping on the level's own keys: an unmapped row keeps a NULL product, a key
-    mapped twice doubles its row, which the control totals then show.
+    """Left join to the source-to-target mapping on the level's own keys, all levels in one join: an unmapped row keeps a
+    NULL product, a key mapped twice doubles its row, which the control totals then show.
 
     No join hint: the planner broadcasts the mapping while its size allows and otherwise shuffles by key, splitting
     skewed partitions (AQE)."""
-    def one(level: S.Level) -> DataFrame:
-        keys = ["src_product_id"] if level.name == "serial" else list(level.keys)
-        target = stm.filter(F.col("product_level") == level.name).select(
-            "client_id", *[F.col(k).alias(f"stm_{k}") for k in keys], F.col("product_id").alias("mapped_id"))
-        rows = source.filter(F.col("product_level") == level.name).withColumn("src_product_key", source_key(level))
-        on = rows["client_id"] == target["client_id"]
-        for own, theirs in zip(level.keys, keys):
-            on = on & (rows[own] == target[f"stm_{theirs}"])
-        return rows.join(target, on, "left").select(
-            "load_id", "week_date", rows["client_id"], "retailer_id", "product_level", "src_product_key",
-            F.col("mapped_id").alias("product_id"), "sales", "inventory")
-
-    return merge_levels([one(level) for level in S.LEVELS.values()])
+    target = stm.select("client_id", "product_level", *_join_keys(stm=True), F.col("product_id").alias("mapped_id"))
+    rows = source.select("*", *_join_keys(stm=False), source_key().alias("src_product_key"))
+    joined = rows.join(target, ["client_id", "product_level", "key0", "key1", "key2"], "left")
+    return joined.withColumn("product_id", F.col("mapped_id")).select(S.STAGING.names)
 
 
 def merge_levels(parts: list[DataFrame]) -> DataFrame:

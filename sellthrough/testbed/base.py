@@ -9,11 +9,12 @@ from sellthrough import schemas as S
 from sellthrough.functions import week_ending
 from sellthrough.operators.joins import join_bounded
 from sellthrough.operators.mapping import build_products, build_stm
-from sellthrough.session import local_rows
+from sellthrough.session import local_rows, work_folder
 
 HISTORY_START = "1996-01-06"
 STAMP, NEXT_STAMP = "20260101T000000", "20260108T000000"
 LOADED_AT, NEXT_LOADED_AT = "2026-01-01 00:00:00", "2026-01-08 00:00:00"
+_landed: dict[tuple[str, str], str] = {}
 _known: dict[tuple[str, str], tuple[list[tuple], date]] = {}
 
 
@@ -207,7 +208,13 @@ def landing_of(rows: DataFrame, stamp: str = STAMP) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf: str) -> DataFrame:
-    return landing_of(sell_rows(spark, sf))
+    """The landing table: every sell row, stored by level and written once per session, as staging reads it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _landed:
+        path = work_folder(spark, "landing")
+        landing_of(sell_rows(spark, sf)).write.partitionBy("product_level").parquet(path)
+        _landed[key] = path
+    return spark.read.schema(S.LANDING).parquet(_landed[key])
 
 
 def first_drop(spark: SparkSession, sf: str) -> DataFrame:
