@@ -12,7 +12,7 @@ from sellthrough.registry import QUERIES  # noqa: E402
 from sellthrough.session import build_session  # noqa: E402
 
 HEADLINE = ["prestage_rollup", "stage_all", "control_totals", "reconcile_ok", "unmapped_keys_report", "merge_source_rows",
-            "upsert_result", "upsert_counts", "parse_output", "file_stats", "latest_week", "sales_by_week",
+            "upsert_result", "upsert_counts", "file_stats", "latest_week", "sales_by_week",
             "chat_weekly_sales", "calendar", "data_freshness", "fact_coverage", "sales_by_retailer_latest", "top_products",
             "period_compare_all", "known_values", "events_feed", "value_functions", "flagship_feed_to_report"]
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough import schemas as S
 from sellthrough.functions import (
-    file_label, is_week_end, last_completed_week, money_text, month_name, parse_count, parse_date, parse_money,
+    file_label, is_week_end, last_completed_week, month_name, parse_count, parse_date, parse_money,
     round_count, round_money, week_ending, week_starting,
 )
 from sellthrough.operators import audit as A, quality, totals as G
