@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sellthrough.llm.decontaminate import contamination
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 
 
@@ -12,12 +13,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDupes(width=4))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+OP1_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+i AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+n AS (SELECT item, w, least(len(w), 13) AS m FROM i WHERE len(w) > 0),
+item_windows AS (
+    SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS x FROM (SELECT item, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM n)),
+lengths AS (SELECT DISTINCT m FROM n),
+doc_windows AS (
+    SELECT doc_id, s, m, array_to_string(w[s:s + m - 1], ' ') AS x
+    FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, lengths WHERE len(w) >= m)),
+hits AS (SELECT doc_id, s, doc_windows.m, item FROM doc_windows JOIN item_windows USING (m, x)),
+places AS (SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS place FROM hits),
+per_doc AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+per_item AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": OP1_SQL,
+}
