@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.llm.decontaminate import contamination
+from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 
 
@@ -22,9 +23,20 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDupes(width=4))
 
 
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled good documents are drawn twice as eagerly."""
+    return _table(spark, sf_dir, "labels").select("doc_id", (1 + F.coalesce("quality", F.lit(0))).cast("double").alias("weight"))
+
+
+def op10_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(_table(spark, sf_dir, "documents"), quality=quality_weights(spark, sf_dir))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op10_mixing_to_weights": op10_mixing_to_weights,
 }
 
 OP1_SQL = r"""
@@ -51,6 +63,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
+OP10_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM d GROUP BY source),
+r AS (  -- in the order in which sources reach three times their size
+    SELECT *, (SELECT sum(source_size) FROM s) AS budget,
+           sum(weight) OVER w - weight AS before_weight, sum(3 * source_size) OVER w - 3 * source_size AS before_cap,
+           (SELECT sum(weight) FROM s) AS all_weight
+    FROM s WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, CAST(budget - before_cap AS DOUBLE) * weight / CAST(all_weight - before_weight AS DOUBLE) > 3 * source_size AS capped FROM r),
+f AS (SELECT max(budget) - coalesce(sum(3 * source_size) FILTER (capped), 0) AS left_budget, sum(weight) FILTER (NOT capped) AS left_weight FROM c),
+t AS (
+    SELECT source, source_size, CASE WHEN capped THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(left_budget AS DOUBLE) * weight / CAST(left_weight AS DOUBLE) END AS target
+    FROM c, f),
+e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(3, CAST(floor(target / source_size) AS BIGINT)) END AS epochs FROM t),
+q AS (SELECT doc_id, max(1 + coalesce(quality, 0)) AS weight FROM labels GROUP BY doc_id),
+k AS (
+    SELECT doc_id, source, size, -ln((CAST('0x' || substr(md5('10:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || size), 1, 12) AS BIGINT) + 0.5)
+                                     / 281474976710656.0) / coalesce(weight, 1) AS key
+    FROM d LEFT JOIN q USING (doc_id)),
+u AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS until FROM k),
+m AS (
+    SELECT doc_id, u.source, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+           epochs + CASE WHEN target - epochs * source_size > 0 AND until - size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END END AS copies
+    FROM u JOIN e ON u.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, CAST(copies AS BIGINT) AS copies FROM m
+"""
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
+    "op10_mixing_to_weights": OP10_SQL,
 }
