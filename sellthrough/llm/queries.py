@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sellthrough.llm.decontaminate import contamination
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
+from sellthrough.llm.neighbours import nearest, usable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDupes(width=4))
 
 
+def op9_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable(_table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled good documents are drawn twice as eagerly."""
     return _table(spark, sf_dir, "labels").select("doc_id", (1 + F.coalesce("quality", F.lit(0))).cast("double").alias("weight"))
@@ -36,6 +42,7 @@ def op10_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_mixing_to_weights": op10_mixing_to_weights,
 }
 
