@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.llm.decontaminate import contamination
+from sellthrough.llm.langid import held_out, identify, train
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
@@ -24,6 +25,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDupes(width=4))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    found = identify(documents.select("doc_id", "text"), train(documents))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(_table(spark, sf_dir, "embeddings"))
     return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
@@ -42,6 +49,7 @@ def op10_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_language_id": op4_language_id,
     "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_mixing_to_weights": op10_mixing_to_weights,
 }
