@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.llm.decontaminate import contamination
 from sellthrough.llm.langid import held_out, identify, train
+from sellthrough.llm.line_dedup import drop_recurring_lines
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
@@ -31,6 +32,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(_table(spark, sf_dir, "embeddings"))
     return nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
+    "op8_log_template_lines": op8_log_template_lines,
     "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_mixing_to_weights": op10_mixing_to_weights,
 }
@@ -78,6 +84,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
+OP8_SQL = r"""
+WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+l AS (SELECT text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM t),
+w AS (
+    SELECT text, place, line, regexp_extract_all(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS w FROM l),
+seen AS (SELECT DISTINCT text, w FROM w WHERE len(w) >= 3),
+lines AS (SELECT len(w) AS size, w[1:3] AS head, w, count(*) AS n FROM seen GROUP BY w),
+leaves AS (SELECT size, head FROM lines GROUP BY size, head HAVING sum(n) >= 10),
+each AS (SELECT size, head, w, n, unnest(w) AS token, generate_subscripts(w, 1) AS place FROM lines JOIN leaves USING (size, head)),
+fixed AS (SELECT size, head, place, token FROM each GROUP BY size, head, place, token HAVING sum(n) >= 10),
+kept AS (
+    SELECT size, head, w, n, list({'p': place, 't': token} ORDER BY place) AS template, count(*) AS fixed
+    FROM each JOIN fixed USING (size, head, place, token) GROUP BY size, head, w, n HAVING count(*) >= 0.8 * size),
+often AS (SELECT size, head, template FROM kept GROUP BY size, head, template HAVING sum(n) >= 10),
+bad AS (SELECT w FROM lines WHERE n >= 10 UNION SELECT w FROM kept JOIN often USING (size, head, template)),
+marked AS (SELECT w.*, bad.w IS NOT NULL AS bad FROM w LEFT JOIN bad ON w.w = bad.w),
+summed AS (
+    SELECT text, sum(len(w)) AS words, coalesce(sum(len(w)) FILTER (bad), 0) AS bad_words, count(*) FILTER (len(w) > 0) AS n_lines,
+           count(*) FILTER (bad) AS n_dropped, string_agg(line, chr(10) ORDER BY place) FILTER (NOT bad) AS kept
+    FROM marked GROUP BY text),
+judged AS (SELECT *, bad_words * 2 <= words AND n_dropped > 0 AS strip FROM summed)
+SELECT doc_id, CASE WHEN strip THEN coalesce(kept, '') ELSE documents.text END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(CASE WHEN strip THEN n_dropped ELSE 0 END AS BIGINT) AS n_dropped
+FROM documents LEFT JOIN judged ON documents.text = judged.text
+"""
+
 OP10_SQL = r"""
 WITH d AS (
     SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -109,5 +141,6 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
+    "op8_log_template_lines": OP8_SQL,
     "op10_mixing_to_weights": OP10_SQL,
 }
