@@ -60,12 +60,13 @@ def _uniform(p: Mix) -> Column:
 
 
 def mix(documents: DataFrame, p: Mix = Mix(), quality: DataFrame | None = None) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies and taken (copies * size).
+    """One row per document: doc_id, text_hash (of Spark's xxhash64), source, size, source_size, target, copies and taken (copies * size).
 
     quality: (doc_id, weight); documents without a positive one weigh 1. Null text has size 0; null sources are a source; rows that repeat
     are documents of their own (with equal keys, told apart by nothing: either may be taken). A source of size 0 has target 0 and takes
     nothing. Empty tables give no rows. Other columns are ignored."""
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"))
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"),
+                            F.xxhash64("text").alias("text_hash"))
     rows = materialise(rows, "sizes")
     # One row per source reaches the driver; sources are the mix's own parameter and as few as its weights.
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
@@ -101,6 +102,6 @@ def mix(documents: DataFrame, p: Mix = Mix(), quality: DataFrame | None = None)
     part = rows.filter(split).withColumn("until", until)
     part = part.withColumn("more", (F.col("until") - F.col("size") / 2 <= F.col("left")).cast("long")).drop("until")
     return whole.unionByName(part).select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "text_hash", "source", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.least(F.col("epochs") + F.col("more"), F.lit(p.most))).otherwise(0).cast("long").alias("copies")).withColumn(
         "taken", F.col("copies") * F.col("size"))
