@@ -5,12 +5,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sellthrough.llm.chat import format_chats, read_back, text_content
 from sellthrough.llm.decontaminate import contamination
 from sellthrough.llm.langid import held_out, identify, train
 from sellthrough.llm.line_dedup import drop_recurring_lines
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
+from sellthrough.session import materialise
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table and one conversation that speaks the template's language; formatted, written, and read back."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = turns.unionByName(own).withColumn("content", text_content(F.col("text")))
+    return read_back(materialise(format_chats(turns), "chats"))
+
+
 def op8_log_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_recurring_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -55,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_log_template_lines": op8_log_template_lines,
     "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_mixing_to_weights": op10_mixing_to_weights,
@@ -84,6 +96,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN per_doc USING (doc_id) LEFT JOIN per_item USING (doc_id)
 """
 
+# formatted_chars: each turn has 16 characters of template, and a character more for each `<` and `\\`.
+OP7_SQL = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(16 + length(regexp_replace(role, '[\\<>\n]', 'xx', 'g')) + length(regexp_replace(text, '[\\<]', 'xx', 'g'))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 OP8_SQL = r"""
 WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 l AS (SELECT text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM t),
@@ -141,6 +165,7 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
+    "op7_chat_formatting": OP7_SQL,
     "op8_log_template_lines": OP8_SQL,
     "op10_mixing_to_weights": OP10_SQL,
 }
