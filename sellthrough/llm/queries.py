@@ -12,7 +12,8 @@ from sellthrough.llm.line_dedup import drop_recurring_lines
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
-from sellthrough.session import materialise
+from sellthrough.llm.warc import captures, read_archives, write_archives
+from sellthrough.session import materialise, work_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,12 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "archives")
+    write_archives(_table(spark, sf_dir, "pages"), path)
+    return captures(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDupes(width=4))
 
@@ -64,6 +71,7 @@ def op10_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_warc_transactions": op2_warc_transactions,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
     "op7_chat_formatting": op7_chat_formatting,
