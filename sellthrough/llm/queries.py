@@ -12,6 +12,7 @@ from sellthrough.llm.line_dedup import drop_recurring_lines
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
+from sellthrough.llm.substring_dedup import repeated_passages
 from sellthrough.llm.warc import captures, read_archives, write_archives
 from sellthrough.session import materialise, work_folder
 
@@ -41,6 +42,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_content_defined_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_doc_id", "start", "stop", "n_words")
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table and one conversation that speaks the template's language; formatted, written, and read back."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_transactions": op2_warc_transactions,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
+    "op6_content_defined_chunks": op6_content_defined_chunks,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_log_template_lines": op8_log_template_lines,
     "op9_inverted_multi_index": op9_inverted_multi_index,
