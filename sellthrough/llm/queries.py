@@ -13,6 +13,7 @@ from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
 from sellthrough.llm.substring_dedup import repeated_passages
+from sellthrough.llm.token_count import count_with_edits, redactions
 from sellthrough.llm.warc import captures, read_archives, write_archives
 from sellthrough.session import materialise, work_folder
 
@@ -42,6 +43,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_edit_aware_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, before and after personal data is masked."""
+    return count_with_edits(redactions(_table(spark, sf_dir, "documents").select("doc_id", "text"))).select(
+        "doc_id", "n_tokens", F.size("leaf_tokens").cast("long").alias("n_segments"), "n_edits", "edited_tokens", "encoded_chars")
+
+
 def op6_content_defined_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "first_doc_id", "start", "stop", "n_words")
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_transactions": op2_warc_transactions,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_language_id": op4_language_id,
+    "op5_edit_aware_tokens": op5_edit_aware_tokens,
     "op6_content_defined_chunks": op6_content_defined_chunks,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_log_template_lines": op8_log_template_lines,
