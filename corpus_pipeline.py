@@ -32,8 +32,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest doc_id; a repeated row stays once."""
     gone = near_duplicates(docs).filter(F.col("doc_id").isNotNull() & ~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").withColumn("text_hash", F.xxhash64("text"))
-    return left.dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns)
+    left = docs.join(gone, "doc_id", "left_anti")
+    left = left.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("row"))
+    return left.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of their copies and the words that these take."""
+    docs = docs.drop("copies", "taken")
     found = mix(docs, quality=quality_weights(spark, sf_dir)).filter("copies > 0")
     found = found.select(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), "copies", "taken").dropDuplicates(["mix_id", "mix_hash"])
     return docs.join(found, docs["doc_id"].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs["text"]) == F.col("mix_hash"))).drop("mix_id", "mix_hash")
