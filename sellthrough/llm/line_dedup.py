@@ -71,11 +71,12 @@ def drop_recurring_lines(documents: DataFrame, p: Templates = Templates()) -> Da
     found = materialise(_recurring(documents, seen, p), "recurring")
     bad = join_bounded(seen, found, "h", "left_semi", found.count()).groupBy("t").agg(F.collect_list("h").alias("bad_lines"))
     names = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    rows = documents.select(*names).withColumn("text_hash", F.xxhash64("text"))
-    rows = rows.join(bad.withColumnRenamed("t", "text_hash"), "text_hash", "left")
-    return rows.select(*names, _judged(F.col("text"), F.col("bad_lines")).alias("judged")).select(
-        *[F.coalesce("judged.text", "text").alias("text") if c == "text" else c for c in names],
-        F.coalesce("judged.n_lines", _count_lines(F.col("text"))).cast("long").alias("n_lines"), F.coalesce("judged.n_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+    rows = documents.select(F.struct(*names).alias("row"), F.xxhash64("text").alias("t")).join(bad, "t", "left")
+    rows = rows.select("row", _judged(F.col("row.text"), F.col("bad_lines")).alias("judged"))
+    return rows.select(
+        *[F.coalesce("judged.text", "row.text").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in names],
+        F.coalesce("judged.n_lines", _count_lines(F.col("row.text"))).cast("long").alias("n_lines"),
+        F.coalesce("judged.n_dropped", F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def _count_lines(text: Column) -> Column:

@@ -121,14 +121,14 @@ def repeated_passages(documents: DataFrame, p: Chunking = Chunking()) -> DataFra
 def without_passages(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """The documents with the repeated passages cut out of text. Cuts that would split a character are moved to its ends."""
     spans = passages.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    spans = spans.withColumnsRenamed({"doc_id": "span_id", "t": "span_t"})
-    rows = documents.join(spans, (F.col("doc_id") == F.col("span_id")) & (F.xxhash64("text") == F.col("span_t")), "left")
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long"), F.xxhash64("text").alias("t"))
+    rows = rows.join(spans, ["doc_id", "t"], "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, places: pd.Series) -> pd.Series:
         return pd.Series([text if text is None or at is None else _cut(text, at) for text, at in zip(texts, places)], dtype=object)
 
-    return rows.select(*[cut("text", "spans").alias("text") if c == "text" else F.col(c) for c in documents.columns])
+    return rows.select(*[cut("row.text", "spans").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
 
 
 def _cut(text: str, spans: list) -> str:
