@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sellthrough import schemas as S
 from sellthrough.functions import is_week_end, parse_count, parse_date, parse_money, round_count, round_money, strip_text
 from sellthrough.operators.joins import join_bounded
-from sellthrough.sources.layout import raw_map
+from sellthrough.sources.layout import is_ragged, raw_map
 
 NO_WEEK = "0001-01-01"      # a file without a week in its name counts as the oldest
 
@@ -63,7 +63,7 @@ def annotate(raw: DataFrame, files: DataFrame, loads: DataFrame, files_bound: in
     trimmed = filled.withColumn("missing_columns", missing).withColumns(text)
     typed = (trimmed.withColumns({"week_date": parse_date(F.col("week_date")), "sales": parse_money(F.col("sales")),
                                  "inventory": parse_count(F.col("inventory"))})
-             .withColumn("reject_reason", reject_reason()))
+             .withColumn("reject_reason", F.when(is_ragged(), F.lit(S.REJECT_RAGGED)).otherwise(reject_reason())))
     week = F.col("week_date")
     status = (F.when(F.col("reject_reason").isNotNull(), "reject").when(week > F.col("window_end"), "newer")
               .when(week < F.col("window_start"), "older").otherwise("kept"))

@@ -13,7 +13,7 @@ def rollup(landing: DataFrame) -> DataFrame:
     levels = [level.name for level in S.LEVELS.values() if level.rollup]
     keys = ["load_id", "week_date", "client_id", "retailer_id", "product_level", *S.KEY_COLUMNS]
     return landing.filter(F.col("product_level").isin(levels)).groupBy(*keys).agg(
-        F.sum("sales").cast(S.MONEY).alias("sales"), F.sum("inventory").cast("long").alias("inventory"),
+        F.sum("sales").try_cast(S.MONEY).alias("sales"), F.try_sum("inventory").alias("inventory"),
         F.count("*").alias("source_rows")).select(S.PRESTAGE.names)
 
 

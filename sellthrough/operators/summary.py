@@ -19,8 +19,7 @@ def summarise(annotated: DataFrame) -> DataFrame:
     aggregate into a sort of all rows."""
     week = F.when(F.col("status") == "kept", F.col("week_date")).alias("week_date")
     return annotated.groupBy("load_id", "source_file", "file_week", "status", week, "missing_columns", "layout_error").agg(
-        F.count("*").alias("rows"), F.sum("sales").cast(S.MONEY).alias("sales"),
-        F.sum("inventory").cast("long").alias("inventory"), F.max("week_date").alias("latest_week"))
+        F.count("*").alias("rows"), F.sum("sales").try_cast(S.MONEY).alias("sales"), F.try_sum("inventory").alias("inventory"), F.max("week_date").alias("latest_week"))
 
 
 def with_newest(summary: DataFrame) -> DataFrame:
@@ -74,8 +73,8 @@ def load_stats(summary: DataFrame, files: DataFrame) -> DataFrame:
     used = F.col("is_used")
     stats = lines.groupBy("load_id").agg(
         F.count_distinct("source_file").alias("files"), *_counts(),
-        F.coalesce(F.sum(F.when(used, F.col("sales"))), F.lit(0)).cast(S.MONEY).alias("sales"),
-        F.coalesce(F.sum(F.when(used, F.col("inventory"))), F.lit(0)).cast("long").alias("inventory"))
+        F.coalesce(F.sum(F.when(used, F.col("sales"))), F.lit(0)).try_cast(S.MONEY).alias("sales"),
+        F.coalesce(F.try_sum(F.when(used, F.col("inventory"))), F.lit(0)).cast("long").alias("inventory"))
     return stats.withColumn("parsed_rows", F.col("rows_used")).drop("rows_used")
 
 
@@ -83,6 +82,11 @@ def violations(summary: DataFrame, files: DataFrame, loads: DataFrame) -> DataFr
     """(load_id, message), one line per failing load with all its messages in order. One pass over the summary: faults per
     file, then per load (at most a load's files in one group)."""
     status = F.col("status")
+    # Sums of kept rows are never NULL but where they don't fit.
+    kept = summary.filter(status == "kept")
+    too_large = kept.groupBy("load_id").agg(
+        (F.coalesce(F.sum("sales").try_cast(S.MONEY).isNull(), F.lit(False)) | F.try_sum("inventory").isNull()
+         | (F.count_if(F.col("sales").isNull() | F.col("inventory").isNull()) > 0)).alias("too_large"))
     per_file = summary.groupBy("load_id", "source_file").agg(
         _rows_if(status == "newer").alias("newer_rows"), _rows_if(status == "kept").alias("kept_rows"),
         F.max(F.when(status == "newer", F.col("latest_week"))).alias("latest_week"),
@@ -97,8 +101,9 @@ def violations(summary: DataFrame, files: DataFrame, loads: DataFrame) -> DataFr
     per_load = all_files.withColumn("messages", F.array_compact(F.array(late, layout))).groupBy("load_id").agg(
         F.flatten(F.collect_list("messages")).alias("messages"), F.coalesce(F.sum("kept_rows"), F.lit(0)).alias("kept"))
     empty = F.when(F.col("kept") == 0, F.lit("no rows for the window in any file"))
-    text = F.array_sort(F.array_compact(F.concat("messages", F.array(empty))))
-    return per_load.select("load_id", F.concat_ws("; ", text).alias("message")).filter("message <> ''")
+    large = F.when(F.col("too_large"), F.lit("sums of sales or inventory do not fit their types"))
+    text = F.array_sort(F.array_compact(F.concat("messages", F.array(empty, large))))
+    return per_load.join(too_large, "load_id", "left").select("load_id", F.concat_ws("; ", text).alias("message")).filter("message <> ''")
 
 
 @dataclass(frozen=True)

@@ -12,8 +12,8 @@ MEASURES = {"rows": "row_count", "sales": "sales", "inventory": "inventory"}
 
 
 def _totals(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEYS).agg(F.count("*").alias("row_count"), F.sum("sales").cast(MONEY).alias("sales"),
-                                   F.sum("inventory").cast("long").alias("inventory"))
+    return rows.groupBy(*KEYS).agg(F.count("*").alias("row_count"), F.sum("sales").try_cast(MONEY).alias("sales"),
+                                   F.try_sum("inventory").alias("inventory"))
 
 
 def control_totals(source: DataFrame, staging: DataFrame) -> DataFrame:
@@ -23,21 +23,24 @@ def control_totals(source: DataFrame, staging: DataFrame) -> DataFrame:
 
 
 def _sum_of(column: str, *sources: str) -> Column:
-    return F.sum(F.when(F.col("source").isin(*sources), F.col(column)))
+    return F.try_sum(F.when(F.col("source").isin(*sources), F.col(column)))
 
 
 def reconcile(totals: DataFrame) -> DataFrame:
     """Per load and week: source against mapped plus rejected, exactly equal in rows, sales and inventory."""
     def side(column: str, *sources: str) -> Column:
-        return F.coalesce(_sum_of(column, *sources), F.lit(0)).cast(MONEY if column == "sales" else "long")
+        return F.coalesce(_sum_of(column, *sources), F.lit(0)).try_cast(MONEY if column == "sales" else "long")
 
     weeks = totals.groupBy("load_id", "week_date").agg(
         side("row_count", "src").alias("src_rows"), side("row_count", "stg", "rej").alias("out_rows"),
         side("sales", "src").alias("src_sales"), side("sales", "stg", "rej").alias("out_sales"),
         side("inventory", "src").alias("src_inv"), side("inventory", "stg", "rej").alias("out_inv"),
-        side("row_count", "rej").alias("rej_rows"))
-    return weeks.withColumn("is_reconciled", (F.col("src_rows") == F.col("out_rows"))
-                            & (F.col("src_sales") == F.col("out_sales")) & (F.col("src_inv") == F.col("out_inv")))
+        side("row_count", "rej").alias("rej_rows"),
+        F.count_if(F.col("sales").isNull() | F.col("inventory").isNull()).alias("unfit"))
+    same = ((F.col("src_rows") == F.col("out_rows")) & (F.col("src_sales") == F.col("out_sales"))
+            & (F.col("src_inv") == F.col("out_inv")))
+    # A total that is NULL did not fit its type.
+    return weeks.withColumn("is_reconciled", F.coalesce(same & (F.col("unfit") == 0), F.lit(False))).drop("unfit")
 
 
 def verdicts(totals: DataFrame, loads: DataFrame) -> DataFrame:

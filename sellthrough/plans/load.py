@@ -40,6 +40,7 @@ class Batch:
     paths_by_format: dict[str, list[str]]
     n_files: int
     n_loads: int
+    refused: dict[str, tuple[str, str]]     # load id -> its feed, and why its files can't be loaded
 
 
 @dataclass(frozen=True)
@@ -72,25 +73,39 @@ def plan_batch(spark: SparkSession, files: DataFrame, config: DataFrame, *, batc
     planned = windows.select(
         F.concat("pipeline_id", F.lit(f"_{stamp}")).alias("load_id"), "pipeline_id", "client_id", "retailer_id",
         "product_level", "load_type", "window_start", "window_end", "window_error").collect()
-    bad = [p for p in planned if p.window_error]
-    if bad:
-        raise ValueError(f"{bad[0].pipeline_id}: {bad[0].window_error}, got {bad[0].window_start} .. {bad[0].window_end}")
-    loads = local_rows(spark, [tuple(p)[:-1] for p in planned], S.LOADS)
-    load_of = {p.pipeline_id: p.load_id for p in planned}
-    in_load = [(load_of[r.pipeline_id], r.source_file, r.file_week) for r in rows]
+    # Weeks that the caller gave are his fault; weeks in the names of one feed's files are that feed's.
+    bad = {p.pipeline_id: f"{p.window_error}: {p.window_start} .. {p.window_end}" for p in planned if p.window_error}
+    if bad and (start_week or end_week):
+        raise ValueError("{}: {}".format(*sorted(bad.items())[0]))
+    good = [p for p in planned if not p.window_error]
+    load_of = {p.pipeline_id: p.load_id for p in good}
+    rows = [r for r in rows if r.pipeline_id in load_of]
     paths: dict[str, list[str]] = {}
     for r in rows:
         paths.setdefault(r.file_format, []).append(r.source_file)
-    return Batch(batch_id, local_rows(spark, in_load, S.FILES), loads, paths, len(rows), len(planned))
+    return Batch(batch_id, local_rows(spark, [(load_of[r.pipeline_id], r.source_file, r.file_week) for r in rows], S.FILES),
+                 local_rows(spark, [tuple(p)[:-1] for p in good], S.LOADS), paths, len(rows), len(good),
+                 {p.load_id: (p.pipeline_id, bad[p.pipeline_id]) for p in planned if p.window_error})
 
 
 def run_load(warehouse: Warehouse, raw: DataFrame, batch: Batch, *, strict: bool = False,
              run_id: str | None = None) -> list[LoadResult]:
-    """Load a batch. A load that violates its window, has no rows or does not reconcile is closed as FAILED and leaves
-    the fact untouched; the others go on. With `strict` the first such load raises instead."""
+    """Load a batch. A load whose files can't be read, that violates its window, has no rows or does not reconcile is closed
+    as FAILED and leaves the fact untouched; the others go on. With `strict` the first such load raises instead."""
     loads = batch.loads
+    refused = [LoadResult(load_id, False, message, 0, 0) for load_id, (_, message) in sorted(batch.refused.items())]
+    if refused:
+        rows = local_rows(warehouse.spark, [(k, feed, message) for k, (feed, message) in sorted(batch.refused.items())],
+                          S.table_schema("load_id string, feed string, message string"))
+        warehouse.append("load_audit", audit_event(
+            rows, _now(), pipeline_id=F.col("feed"), run_id=F.lit(run_id), status=F.lit("FAILED"), started_at=_now(),
+            finished_at=_now(), error_message=error_text(F.col("message"))))
+        if strict:
+            raise ValueError(f"{refused[0].load_id}: {refused[0].error}")
+        if not batch.n_loads:
+            return refused
     try:
-        return _run(warehouse, raw, batch, strict, run_id)
+        return sorted(refused + _run(warehouse, raw, batch, strict, run_id), key=lambda r: r.load_id)
     except Exception as error:
         warehouse.append("load_audit", audit_event(
             loads, _now(), status=F.lit("FAILED"), error_message=error_text(F.lit(str(error))), finished_at=_now()))
@@ -149,6 +164,8 @@ def _run(wh: Warehouse, raw: DataFrame, batch: Batch, strict: bool, run_id: str
         mine = join_bounded(staging, good, "load_id", "left_semi", len(passing))
         wh.replace_batch("unmapped", unmapped_keys(mine), bid)
         counters = upsert_fact(wh, mine, good_loads, totals, weeks_bound, len(passing))
+        wh.replace_batch("loaded_files", files.join(good_loads.select("load_id", "pipeline_id"), "load_id")
+                         .withColumn("loaded_at", _now()), bid)
     closed = [(load_id, *counters.get(load_id, (0, 0))) for (load_id,) in passing]
     if closed:
         rows = local_rows(wh.spark, closed, S.table_schema("load_id string, inserted bigint, updated bigint"))
@@ -189,14 +206,18 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
 
 def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date, start_week: date | None = None,
                 end_week: date | None = None, environment: str = "dev", pipeline_id: str | None = None,
-                strict: bool = False) -> list[LoadResult]:
-    """Load everything that waits below a folder (at most 20 files a feed), or one feed's files. Explicit weeks make it
-    a history load. Returns nothing when no file waits."""
+                strict: bool = False, again: bool = False) -> list[LoadResult]:
+    """Load the drops that wait below a folder (the oldest 20 of each feed), or one feed's. Explicit weeks make it a
+    history load. Returns nothing when no file waits.
+
+    Files of loads that succeeded are remembered and wait no more, but for the batch of the same stamp, which is repeated, and
+    with `again`, which takes all files that lie there."""
     spark = warehouse.spark
     config = active_feeds(warehouse.read("pipeline_config"), environment)
     if pipeline_id:
         config = config.filter(F.col("pipeline_id") == pipeline_id)
-    batch = plan_batch(spark, next_files(spark, folder, config), config, batch_id=stamp, stamp=stamp, run_date=run_date,
+    loaded = None if again else warehouse.read("loaded_files").filter(F.col("batch_id") != stamp)
+    batch = plan_batch(spark, next_files(spark, folder, config, loaded), config, batch_id=stamp, stamp=stamp, run_date=run_date,
                        start_week=start_week, end_week=end_week)
     if batch is None:
         return []
@@ -204,6 +225,8 @@ def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date
 
 
 def waiting_files(warehouse: Warehouse, folder: str) -> DataFrame:
-    """Files below a folder that belong to a feed, oldest first."""
+    """Files below a folder that belong to a feed and aren't loaded yet, oldest first."""
     files = pending_files(list_feed_files(warehouse.spark, folder))
-    return match_feeds(files, warehouse.read("pipeline_config"), folder).orderBy("file_week", "source_file")
+    waiting = match_feeds(files, warehouse.read("pipeline_config"), folder).join(
+        warehouse.read("loaded_files").select("source_file"), "source_file", "left_anti")
+    return waiting.orderBy("file_week", "source_file")

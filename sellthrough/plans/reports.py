@@ -1,6 +1,8 @@
 """Named reports over the curated views."""
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -43,22 +45,30 @@ def _sales(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("sales_usd").cast(MONEY).alias("sales_usd"))
 
 
+def recent(t: Tables, weeks: int) -> Tables:
+    """The tables with the fact cut to its newest weeks. The newest week is one value, asked for first: as plain dates the
+    weeks prune the fact's partitions below the joins, which a comparison with `weeks_ago` above them cannot."""
+    newest = views.latest_week(t.fact).first().latest_week
+    wanted = [newest - timedelta(weeks=i) for i in range(weeks)] if newest else []
+    return replace(t, fact=t.fact.filter(F.col("week_date").isin(wanted)))
+
+
 def sales_by_retailer_latest(t: Tables) -> DataFrame:
     """Total sales by retailer in the latest week."""
-    week = views.sales_by_week(t).filter("weeks_ago = 0")
+    week = views.sales_by_week(recent(t, 1)).filter("weeks_ago = 0")
     return _sales(week, "retailer").orderBy(F.desc("sales_usd"), "retailer")
 
 
 def period_compare(t: Tables, brand: str, retailer: str) -> DataFrame:
     """Last 4 weeks against the 4 before; NULL for a period without rows."""
-    rows = views.sales_by_week(t).filter(
+    rows = views.sales_by_week(recent(t, 8)).filter(
         (F.col("brand") == brand) & (F.col("retailer") == retailer) & F.col("weeks_ago").between(0, 7))
     return rows.agg(*_period_sums())
 
 
 def period_compare_all(t: Tables) -> DataFrame:
     """The same comparison for every brand and retailer."""
-    rows = views.sales_by_week(t).filter(F.col("weeks_ago").between(0, 7))
+    rows = views.sales_by_week(recent(t, 8)).filter(F.col("weeks_ago").between(0, 7))
     return rows.groupBy("brand", "retailer").agg(*_period_sums())
 
 
@@ -70,13 +80,13 @@ def _period_sums():
 
 def top_products(t: Tables, brand: str, weeks: int = 4, n: int = 5) -> DataFrame:
     """Best sellers of a brand in the last weeks; equal sales are ordered by name and retailer."""
-    rows = views.chat_weekly_sales(t).filter((F.col("brand") == brand) & F.col("weeks_ago").between(0, weeks - 1))
+    rows = views.chat_weekly_sales(recent(t, weeks)).filter((F.col("brand") == brand) & F.col("weeks_ago").between(0, weeks - 1))
     return _sales(rows, "product_name", "retailer").orderBy(F.desc("sales_usd"), "product_name", "retailer").limit(n)
 
 
 def out_of_stock(t: Tables) -> DataFrame:
     """Products without units on hand in the latest week."""
-    rows = views.chat_weekly_sales(t).filter("weeks_ago = 0 AND is_out_of_stock")
+    rows = views.chat_weekly_sales(recent(t, 1)).filter("weeks_ago = 0 AND is_out_of_stock")
     return rows.select("brand", "retailer", "product_name").orderBy("brand", "retailer", "product_name")
 
 

@@ -34,6 +34,7 @@ SYNONYMS = {
 }
 
 # Reject texts, in the order the rules are tried. The last two are followed by the feed's own id.
+REJECT_RAGGED = "more cells than the header"
 REJECT_TOTAL = "summary/total row"
 REJECT_WEEK = "unparseable week_date"
 REJECT_SATURDAY = "week_date is not a Saturday"
@@ -44,7 +45,7 @@ REJECT_CLIENT = "client is not "
 REJECT_RETAILER = "retailer is not "
 
 # Limits.
-MAX_FILES_PER_LOAD = 20
+MAX_DROPS_PER_LOAD = 20
 MAX_RESULT_ROWS = 500
 MAX_KNOWN_VALUES = 200
 MAX_EVIDENCE_KEYS = 50
@@ -102,6 +103,8 @@ LOAD_AUDIT_EVENT = table_schema("""load_id string, event_ts timestamp, pipeline_
     fact_updated bigint, error_message string, started_at timestamp, finished_at timestamp""")
 LOAD_FILES = table_schema("""load_id string, source_file string, file_week_end date, raw_rows bigint, parsed_rows bigint,
     rows_used bigint, superseded_rows bigint, parse_rejects bigint, out_of_window bigint, loaded_at timestamp""")
+UNRECOGNISED_FILES = table_schema("source_file string, seen_at timestamp")
+LOADED_FILES = table_schema("load_id string, pipeline_id string, source_file string, file_week date, loaded_at timestamp")
 UNMAPPED = table_schema("""load_id string, src_product_key string, first_week date, last_week date, rows bigint,
     sales decimal(18,2)""")
 FACT_SALES = table_schema("""week_date date, client_id string, retailer_id string, product_id string, sales decimal(18,2),

@@ -1,6 +1,7 @@
 """Session settings used by tests and the benchmark, and the shared work folder."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,11 @@ def build_session(app: str = "sellthrough", master: str | None = None, **conf: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. Only where none is set (tests) a folder of this machine is taken."""
+    """The cluster's shared folder. Where none is set, a session on one machine takes a folder of it; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="sellthrough-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -32,6 +32,8 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "product_stm": (S.PRODUCT_STM, ()), "pipeline_config": (S.PIPELINE_CONFIG, ()),
     "parsed": (_batched(_PARSED), ("batch_id",)), "parse_summary": (_batched(_SUMMARY), ("batch_id",)),
     "parse_rejects": (_batched(S.REJECTS), ("batch_id",)), "load_files": (_batched(S.LOAD_FILES), ("batch_id",)),
+    "unrecognised_files": (_batched(S.UNRECOGNISED_FILES), ("batch_id",)),
+    "loaded_files": (_batched(S.LOADED_FILES), ("batch_id",)),
     "landing": (S.LANDING, ("product_level", *PAIR)), "prestage": (S.PRESTAGE, ("product_level", *PAIR)),
     "staging": (S.STAGING, PAIR), "etl_stats": (_batched(S.ETL_STATS), ("batch_id",)),
     "unmapped": (_batched(S.UNMAPPED), ("batch_id",)), "load_audit": (S.LOAD_AUDIT_EVENT, ()),

@@ -7,14 +7,19 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_header
 from sellthrough.operators.joins import join_bounded
+from sellthrough.session import materialise
+from sellthrough.sources.files import reader_path
 from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells
 
+SPARE_CELLS = 4
+
 
 def _header_cells(uri: str) -> list[str]:
     """Cells of the first line that is not blank."""
@@ -33,8 +38,15 @@ def _header_cells(uri: str) -> list[str]:
 
 def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        names = [list(map(standard_header, _header_cells(uri))) for uri in batch["source_file"]]
-        yield pd.DataFrame({"source_file": batch["source_file"], "names": names})
+        names, errors = [], []
+        for uri in batch["source_file"]:
+            try:
+                names.append(list(map(standard_header, _header_cells(uri))))
+                errors.append(None)
+            except csv.Error as error:      # the file's fault; a file that cannot be opened is the system's
+                names.append([])
+                errors.append(f"the header cannot be read: {error}")
+        yield pd.DataFrame({"source_file": batch["source_file"], "names": names, "header_error": errors})
 
 
 def csv_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -43,21 +55,40 @@ def csv_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     names = files.select(F.col("_metadata.file_path").alias("source_file"))
     tasks = min(max(1, len(paths) // 8), 1000)
-    return (names.repartition(tasks).mapInPandas(_read_headers, "source_file string, names array<string>")
-            .withColumns({"layout_error": ambiguous(F.col("names")), "positions": column_positions(F.col("names"))}))
+    layouts = names.repartition(tasks).mapInPandas(_read_headers, "source_file string, names array<string>, header_error string")
+    return layouts.select("source_file", "names", F.coalesce("header_error", ambiguous(F.col("names"))).alias("layout_error"),
+                          column_positions(F.col("names")).alias("positions"))
+
+
+def files_with_breaks(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files with a line break inside a quoted cell: some line of theirs has an odd number of quotes. The lines are scanned
+    in splits; of each file a yes or no is left."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    return [r.source_file for r in lines.filter(odd).select("source_file").distinct().collect()]
 
 
-def read_csv_feed(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
-    """Raw feed rows of the given files, all cells text. `multiline` allows line breaks inside quoted cells at the cost
-    of reading each file in one task."""
+def read_csv_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Raw feed rows of the given files, all cells text. Files with line breaks inside quoted cells are read by one task
+    each, the others in splits. A row with more cells than its file's header keeps them all, which makes it a reject."""
     if not paths:
         return empty_feed(spark)
-    # One small row per file, wanted by the width below and by the join: kept, it is read once.
-    layouts = csv_layouts(spark, paths).persist()
+    layouts = materialise(csv_layouts(spark, paths), "layouts")
     files, width = layouts.agg(F.count("*"), F.max(F.size("names"))).first()
-    cells = [f"c{i}" for i in range(max(width or 1, 1))]
-    rows = (spark.read.schema(", ".join(f"{c} string" for c in cells))
-            .options(header=True, multiLine=multiline, quote='"', escape='"', encoding="UTF-8")
-            .csv(paths)
-            .select(F.col("_metadata.file_path").alias("source_file"), F.array(*[F.coalesce(c, F.lit("")) for c in cells]).alias("cells")))
-    return from_cells(join_bounded(rows, layouts, "source_file", "inner", files))
+    # Spare columns show cells beyond the widest header.
+    cells = [f"c{i}" for i in range(max(width or 1, 1) + SPARE_CELLS)]
+    broken = set(files_with_breaks(spark, paths))
+    whole = [reader_path(p) for p in sorted(broken)]
+    plain = [p for p in paths if p not in set(whole)] if broken else paths
+
+    def rows(some: list[str], breaks: bool) -> DataFrame:
+        read = (spark.read.schema(", ".join(f"{c} string" for c in cells))
+                .options(header=True, multiLine=breaks, quote='"', escape='"', encoding="UTF-8").csv(some))
+        return read.select(F.col("_metadata.file_path").alias("source_file"), F.array(*cells).alias("cells"))
+
+    parts = [rows(some, breaks) for some, breaks in ((plain, False), (whole, True)) if some]
+    joined = join_bounded(reduce(DataFrame.unionByName, parts), layouts, "source_file", "inner", files)
+    # Up to the header's width, or to the last cell beyond it that holds something.
+    beyond = F.array_max(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i + 1)))
+    kept = F.slice("cells", F.lit(1), F.greatest(F.size("names"), F.coalesce(beyond, F.lit(0))))
+    return from_cells(joined.withColumn("cells", F.transform(kept, lambda c: F.coalesce(c, F.lit("")))))

@@ -1,10 +1,12 @@
 """Feed files as rows: which files wait, which week they close, which feed they belong to."""
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sellthrough.functions import file_label
-from sellthrough.schemas import MAX_FILES_PER_LOAD
+from sellthrough.schemas import MAX_DROPS_PER_LOAD
 
 # Fixed value: the naming rule <retailer>_<client>_<YYYYMMDD>[_partN].<csv|xlsx|json>. A drop may also be a folder of
 # that name holding part files, which is how Spark itself writes one.
@@ -12,6 +14,11 @@ FILE_NAME = r"(?i)_(\d{8})(?:_part\d+)?\.(csv|xlsx|json)(?:/part-[^/]*)?$"
 FEED_FOLDER = r"(?i)^(.*?)/?[^/]*_\d{8}(?:_part\d+)?\.(?:csv|xlsx|json)(?:/part-[^/]*)?$"
 
 
+def reader_path(listed: str) -> str:
+    """A listed path, which is URL-encoded, as Spark's readers take it: plain, with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(listed))
+
+
 def file_week(path: Column) -> Column:
     """Week in the file name; NULL for other names and for eight digits that are no date."""
     return F.try_to_date(F.regexp_extract(path, FILE_NAME, 1), "yyyyMMdd")
@@ -44,25 +51,30 @@ def match_feeds(files: DataFrame, config: DataFrame, folder: str) -> DataFrame:
     trimmed = F.regexp_replace(F.col("source_file"), "^file:/+", "/")
     root = "/" + folder.removeprefix("file:").strip("/") if "://" not in folder.removeprefix("file://") else folder.rstrip("/")
     below = F.when(trimmed.startswith(root + "/"), F.substring(trimmed, F.lit(len(root) + 2), F.length(trimmed)))
-    located = files.withColumn("source_location", F.url_decode(F.regexp_extract(below, FEED_FOLDER, 1)))
+    # Listed paths are URL-encoded; a plus sign in them is one.
+    plain = F.url_decode(F.regexp_replace(F.regexp_extract(below, FEED_FOLDER, 1), r"\+", "%2B"))
+    located = files.withColumn("source_location", plain)
     feeds = config.withColumn("source_location", F.btrim("source_location", F.lit("/"))).select(
         "pipeline_id", "source_location")
     return located.join(feeds, "source_location").drop("source_location")
 
 
-def cap_files(files: DataFrame, limit: int = MAX_FILES_PER_LOAD) -> DataFrame:
-    """Oldest files of each feed, at most `limit` a load; the rest wait for the next load."""
-    order = Window.partitionBy("pipeline_id").orderBy("file_week", "source_file")
-    return (files.withColumn("file_no", F.row_number().over(order))
-            .filter(F.col("file_no") <= limit))
+def cap_drops(files: DataFrame, limit: int = MAX_DROPS_PER_LOAD) -> DataFrame:
+    """Files of the oldest drops of each feed, at most `limit` drops a load; the rest wait for the next load. A drop is all
+    that a feed has for one week, however many parts it came in."""
+    order = Window.partitionBy("pipeline_id").orderBy("file_week")
+    drops = files.select("pipeline_id", "file_week").distinct().withColumn("drop_no", F.row_number().over(order))
+    return files.join(drops.filter(F.col("drop_no") <= limit).drop("drop_no"), ["pipeline_id", "file_week"], "left_semi")
 
 
-def next_files(spark: SparkSession, folder: str, config: DataFrame, limit: int = MAX_FILES_PER_LOAD) -> DataFrame:
-    return cap_files(match_feeds(pending_files(list_feed_files(spark, folder)), config, folder), limit)
+def whole_drops(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Files of drops that still have a file which is not among the loaded ones. A part that comes late brings its drop's
+    other parts along: a week is replaced by the load that reports it, so it has to be reported whole."""
+    waiting = files.join(loaded.select("source_file"), "source_file", "left_anti")
+    return files.join(waiting.select("pipeline_id", "file_week").distinct(), ["pipeline_id", "file_week"], "left_semi")
 
 
-def drop_label(files: DataFrame) -> DataFrame:
-    """One label per feed or load for the audit: the file, or `N files: first .. last`."""
-    key = "load_id" if "load_id" in files.columns else "pipeline_id"
-    order = F.struct("file_week", "source_file")
-    return files.groupBy(key).agg(file_label(order, F.col("source_file")).alias("source_files"))
+def next_files(spark: SparkSession, folder: str, config: DataFrame, loaded: DataFrame | None = None,
+               limit: int = MAX_DROPS_PER_LOAD) -> DataFrame:
+    files = match_feeds(pending_files(list_feed_files(spark, folder)), config, folder)
+    return cap_drops(files if loaded is None else whole_drops(files, loaded), limit)

@@ -5,8 +5,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_name
 from sellthrough.schemas import FEED_COLUMNS
+from sellthrough.session import materialise
 from sellthrough.sources.layout import ambiguous, empty_feed, from_records
 
+NO_RECORDS = "the document is no JSON array of records and no page of them"
+# A drop's path without its part: what its pages have in common.
+DROP = r"(?i)^(.*_\d{8})(?:_part\d+)?\.json(?:/part-[^/]*)?$"
+PAGE_COUNTS = "struct<data:array<string>,next_cursor:bigint,total:bigint>"
 PAGE = "struct<data:array<map<string,string>>,next_cursor:bigint,total:bigint>"
 
 
@@ -17,7 +22,7 @@ def _whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _explode_records(rows: DataFrame) -> DataFrame:
-    """(source_file, records array<map>) to raw feed rows.
+    """(source_file, records array<map>, document_error) to raw feed rows.
 
     Which header of the document means which standard column is settled once per document; a record then takes one map
     lookup per column."""
@@ -25,8 +30,12 @@ def _explode_records(rows: DataFrame) -> DataFrame:
     named = rows.withColumn("headers", headers).withColumn("names", F.transform("headers", lambda h: standard_name(h)))
     at = [F.array_position("names", F.lit(c)).cast("int") for c in FEED_COLUMNS]
     own = F.array(*[F.when(p > 0, F.get("headers", p - 1)) for p in at])
-    return from_records(named.withColumns({"own": own, "layout_error": ambiguous(F.col("names"))}).select(
-        "source_file", "own", "layout_error", F.explode("records").alias("record")))
+    error = F.coalesce("document_error", ambiguous(F.col("names")))
+    # A faulty document makes one row, which carries the fault.
+    listed = F.when(F.col("document_error").isNotNull() & (F.coalesce(F.size("records"), F.lit(0)) == 0),
+                    F.array(F.lit(None).cast("map<string,string>"))).otherwise(F.col("records"))
+    return from_records(named.withColumns({"own": own, "layout_error": error}).select(
+        "source_file", "own", "layout_error", F.explode(listed).alias("record")))
 
 
 def json_records(rows: DataFrame) -> DataFrame:
@@ -35,11 +44,27 @@ def json_records(rows: DataFrame) -> DataFrame:
     is_page = F.ltrim("value").startswith("{")
     records = (F.when(is_page, F.from_json("value", PAGE)["data"])
                .otherwise(F.from_json("value", "array<map<string,string>>")))
-    return _explode_records(rows.select("source_file", records.alias("records")))
+    found = rows.select("source_file", records.alias("records"), (F.btrim("value") == "").alias("blank"))
+    broken = F.when(F.col("records").isNull() & ~F.coalesce("blank", F.lit(True)), F.lit(NO_RECORDS))
+    return _explode_records(found.select("source_file", "records", broken.alias("document_error")))
 
 
 def read_json_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return json_records(_whole_files(spark, paths)) if paths else empty_feed(spark)
+    """Raw feed rows of all documents. API pages of a drop whose records are not all there are a fault of that drop."""
+    if not paths:
+        return empty_feed(spark)
+    documents = _whole_files(spark, paths)
+    drop = F.regexp_extract("source_file", DROP, 1)
+    pages = documents.filter(F.ltrim("value").startswith("{")).select("source_file", F.from_json("value", PAGE_COUNTS).alias("p"))
+    pages = pages.select("source_file", F.col("p.data").alias("records"), "p.next_cursor", "p.total")
+    # One row per drop with a fault: as a rule none.
+    missing = materialise(incomplete_feeds(pages, drop).select(
+        "feed", F.concat(F.lit("pages are missing: "), F.col("records").cast("string"), F.lit(" records of "), F.col("total").cast("string")).alias("missing")), "missing-pages")
+    rows = json_records(documents)
+    if missing.isEmpty():
+        return rows
+    named = rows.withColumn("feed", drop).join(missing, "feed", "left")
+    return named.withColumn("layout_error", F.coalesce("layout_error", "missing")).select(*rows.columns)
 
 
 def api_pages(rows: DataFrame) -> DataFrame:
@@ -50,7 +75,7 @@ def api_pages(rows: DataFrame) -> DataFrame:
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """Raw feed rows of all pages."""
-    return _explode_records(pages.select("source_file", "records"))
+    return _explode_records(pages.select("source_file", "records", F.lit(None).cast("string").alias("document_error")))
 
 
 def page_totals(pages: DataFrame, feed: Column) -> DataFrame:

@@ -39,9 +39,16 @@ def from_cells(rows: DataFrame) -> DataFrame:
 
 
 def raw_map() -> Column:
-    """The raw cells of a row by standard name, for rejects. Cells beyond the header have no name and are left out."""
-    names = unique_names(F.transform("raw_names", lambda n: standard_name(n)))
-    return F.map_from_arrays(names, F.slice("raw_cells", F.lit(1), F.size("raw_names")))
+    """The raw cells of a row by standard name, for rejects. Cells beyond the header are named by their position."""
+    beyond = F.transform(F.sequence(F.size("raw_names"), F.greatest(F.size("raw_cells"), F.size("raw_names"))), lambda i: F.lit(""))
+    named = F.transform("raw_names", lambda n: standard_name(n))
+    names = unique_names(F.slice(F.concat(named, beyond), F.lit(1), F.size("raw_cells")))
+    return F.map_from_arrays(names, F.col("raw_cells"))
+
+
+def is_ragged() -> Column:
+    """Whether a row has more cells than its file's header."""
+    return F.coalesce(F.size("raw_cells") > F.size("raw_names"), F.lit(False))
 
 
 def from_records(rows: DataFrame) -> DataFrame:

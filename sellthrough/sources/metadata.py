@@ -20,9 +20,3 @@ def active_feeds(config: DataFrame, environment: str = "dev", only_active: bool
 
 def feed_by_id(config: DataFrame, pipeline_id: str) -> DataFrame:
     return config.filter(F.col("pipeline_id") == pipeline_id)
-
-
-def read_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    tables = {"client": schemas.CLIENT, "retailer": schemas.RETAILER, "product": schemas.PRODUCT,
-              "product_stm": schemas.PRODUCT_STM}
-    return {name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in tables.items()}

@@ -7,6 +7,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from datetime import date, timedelta
 from xml.etree import ElementTree
@@ -120,8 +121,17 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for path, content in zip(batch["source_file"], batch["content"]):
-            names, chunk = None, []
-            for row_no, cells in _sheet_rows(content):
+            names, chunk, broken = None, [], None
+            rows = _sheet_rows(content)
+            while True:
+                try:
+                    row_no, cells = next(rows)
+                except StopIteration:
+                    break
+                except (zipfile.BadZipFile, ElementTree.ParseError, zlib.error, RuntimeError, LookupError, TypeError, ValueError, AttributeError,
+                        NotImplementedError, EOFError) as error:
+                    broken = f"{type(error).__name__}: {error}"     # the file's fault, whatever is wrong inside
+                    break
                 if names is None:
                     if row_no > HEADER_SEARCH_ROWS:
                         break
@@ -129,11 +139,14 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if "week_date" in candidate:
                         names = candidate
                     continue
-                chunk.append(cells + [""] * (len(names) - len(cells)))
+                # Cells beside the table are notes.
+                chunk.append((cells + [""] * (len(names) - len(cells)))[:len(names)])
                 if len(chunk) == CHUNK_ROWS:
                     yield frame(path, names, chunk)
                     chunk = []
-            if names is None:
+            if broken:
+                yield frame(path, [], [[]], f"the workbook cannot be read: {broken}")
+            elif names is None:
                 yield frame(path, [], [[]], NO_HEADER)
             elif chunk:
                 yield frame(path, names, chunk)

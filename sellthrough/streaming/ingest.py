@@ -3,7 +3,8 @@
 The stream's checkpoint remembers which files were taken. A batch that is repeated after a failure has the same id, hence
 the same load ids, and replaces what its first attempt wrote. Late and early weeks are judged by the load's own window
 (older rows are counted and dropped, newer rows fail the load), so no watermark is used: it would drop without counting.
-Across batches the last load wins, also where an older file arrives after a newer one."""
+Across batches the last load wins, also where an older file arrives after a newer one. A file brings along the other
+parts of its drop that still lie in the folder, so parts that come one after the other end as one drop."""
 from __future__ import annotations
 
 from datetime import date
@@ -12,9 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sellthrough.plans.load import plan_batch, run_load
-from sellthrough.schemas import MAX_FILES_PER_LOAD
 from sellthrough.sinks.warehouse import Warehouse
-from sellthrough.sources.files import match_feeds, pending_files, with_file_week
+from sellthrough.sources.files import list_feed_files, match_feeds, pending_files, with_file_week
 from sellthrough.sources.metadata import active_feeds
 from sellthrough.sources.reader import read_feed_files
 
@@ -22,13 +22,14 @@ BINARY_FILE = "path string, modificationTime timestamp, length long, content bin
 
 
 def ingest(warehouse: Warehouse, folder: str, checkpoint: str, *, stream_name: str = "stream", run_date: date | None = None,
-           start_week: date | None = None, end_week: date | None = None, max_files: int = MAX_FILES_PER_LOAD,
+           start_week: date | None = None, end_week: date | None = None, max_files: int | None = None,
            archive_folder: str | None = None, environment: str = "dev", once: bool = True,
            interval: str = "10 minutes") -> StreamingQuery:
-    """Start the ingest. With `once` it takes everything that waits, at most `max_files` a batch, and stops; otherwise it
-    looks again every `interval`. Loaded files move to `archive_folder` if one is given."""
+    """Start the ingest. With `once` it takes everything that waits and stops; otherwise it looks again every `interval`.
+    `max_files` bounds the new files of a batch; drops stay whole. Files move to `archive_folder` after their batch, if one
+    is given. Arrived files that belong to no feed are kept in the table unrecognised_files."""
     spark = warehouse.spark
-    options = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(max_files)}
+    options = {"recursiveFileLookup": "true"} | ({"maxFilesPerTrigger": str(max_files)} if max_files else {})
     if archive_folder:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_folder}
     names = (spark.readStream.format("binaryFile").schema(BINARY_FILE).options(**options).load(folder)
@@ -36,8 +37,14 @@ def ingest(warehouse: Warehouse, folder: str, checkpoint: str, *, stream_name: s
 
     def load(arrived: DataFrame, batch_id: int) -> None:
         config = active_feeds(warehouse.read("pipeline_config"), environment)
-        files = match_feeds(pending_files(with_file_week(arrived)), config, folder)
+        new = with_file_week(arrived)
+        files = match_feeds(pending_files(new), config, folder)
+        lying = match_feeds(pending_files(list_feed_files(spark, folder)), config, folder)
+        drops = files.select("pipeline_id", "file_week").distinct()
+        files = files.unionByName(lying.join(drops, ["pipeline_id", "file_week"], "left_semi")).distinct()
         stamp = f"{stream_name}{batch_id:08d}"
+        strangers = new.join(files.select("source_file"), "source_file", "left_anti").select("source_file", F.current_timestamp().alias("seen_at"))
+        warehouse.replace_batch("unrecognised_files", strangers, stamp)
         batch = plan_batch(spark, files, config, batch_id=stamp, stamp=stamp, run_date=run_date or date.today(),
                            start_week=start_week, end_week=end_week)
         if batch is not None:

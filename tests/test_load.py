@@ -57,7 +57,7 @@ def test_batch_of_feeds_with_one_bad_load_then_restatement(spark, tmp_path):
     stm = wh.read("product_stm")
     doubled = local_rows(spark, [("C101", "serial", "A", None, None, None, "C101-B")] + [tuple(r) for r in stm.collect()], S.PRODUCT_STM)
     wh.replace_dimensions(product_stm=doubled)
-    failed = load_folder(wh, landing, stamp="T5", run_date=date(2026, 10, 1), pipeline_id="C101_R201")[0]
+    failed = load_folder(wh, landing, stamp="T5", run_date=date(2026, 10, 1), pipeline_id="C101_R201", again=True)[0]
     assert not failed.passed and failed.error == "src != stg + rej in 2 of 2 weeks" and rows(wh.read("fact_sales")) == before
 
 

@@ -28,7 +28,9 @@ def test_pending_files_in_order(spark, tmp_path):
     found = [r.source_file.rsplit("/", 1)[-1] for r in matched.orderBy("file_week", "source_file").collect()]
     assert found == [names[1], names[3], names[2], names[0]]
     assert sources.unrecognised_files(listed).count() == 2
-    assert rows(sources.cap_files(matched, 2), "file_week") == [(d("2026-09-12"),), (d("2026-09-19"),)]
+    assert rows(sources.cap_drops(matched, 2), "file_week") == [(d("2026-09-12"),), (d("2026-09-19"),), (d("2026-09-19"),)]
+    loaded = matched.filter("file_week = '2026-09-12' or source_file like '%part1.csv'").select("source_file")
+    assert rows(sources.whole_drops(matched, loaded), "file_week") == [(d("2026-09-19"),), (d("2026-09-19"),), (d("2026-09-26"),)]
     spark_drop = with_file_week(spark.createDataFrame([("file:/x/R_C_20260926.json/part-0001-a.txt",)], "source_file string")).first()
     assert (spark_drop.file_week, spark_drop.file_format) == (d("2026-09-26"), "json")
 
