@@ -206,8 +206,8 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
 
 def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date, start_week: date | None = None,
                 end_week: date | None = None, environment: str = "dev", pipeline_id: str | None = None,
-                strict: bool = False, again: bool = False) -> list[LoadResult]:
-    """Load the drops that wait below a folder (the oldest 20 of each feed), or one feed's. Explicit weeks make it a
+                strict: bool = False, again: bool = False, max_drops: int = S.MAX_DROPS_PER_LOAD) -> list[LoadResult]:
+    """Load the drops that wait below a folder (the oldest `max_drops` of each feed), or one feed's. Explicit weeks make it a
     history load. Returns nothing when no file waits.
 
     Files of loads that succeeded are remembered and wait no more, but for the batch of the same stamp, which is repeated, and
@@ -217,7 +217,7 @@ def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date
     if pipeline_id:
         config = config.filter(F.col("pipeline_id") == pipeline_id)
     loaded = None if again else warehouse.read("loaded_files").filter(F.col("batch_id") != stamp)
-    batch = plan_batch(spark, next_files(spark, folder, config, loaded), config, batch_id=stamp, stamp=stamp, run_date=run_date,
+    batch = plan_batch(spark, next_files(spark, folder, config, loaded, max_drops), config, batch_id=stamp, stamp=stamp, run_date=run_date,
                        start_week=start_week, end_week=end_week)
     if batch is None:
         return []

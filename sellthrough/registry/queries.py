@@ -20,7 +20,7 @@ from sellthrough.operators.summary import Parsed, with_newest
 from sellthrough.operators.upsert import merge_source, restated_rows, upsert_weekly
 from sellthrough.operators.windows import missing_weeks, resolve_windows
 from sellthrough.plans import evidence, reports, views
-from sellthrough.plans.load import plan_batch, run_load
+from sellthrough.plans.load import load_folder, plan_batch, run_load
 from sellthrough.plans.parse import parse_feed
 from sellthrough.plans.reports import for_export
 from sellthrough.plans.stage import stage
@@ -626,7 +626,7 @@ def load_from_feed(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    """Two drops arriving one after the other as files, taken by the file stream."""
+    """Two drops arriving one after the other as files, taken by the file stream with its default settings."""
     wh = _warehouse(spark, sf)
     folder, checkpoint = work_folder(spark, "landing"), work_folder(spark, "stream")
     rows, newest = base.sell_rows(spark, sf), base.newest_week(spark, sf)
@@ -636,11 +636,41 @@ def stream_ingest(spark, sf):
     for drop in (first, recent):
         stored.write_feed_files(drop, folder, base.pair_count(spark, sf))
         # All feeds of a drop in one batch; the history window takes every week.
-        run = ingest(wh, folder, checkpoint, run_date=date(2026, 1, 1), start_week=date(1990, 1, 6), max_files=1_000_000)
+        run = ingest(wh, folder, checkpoint, run_date=date(2026, 1, 1), start_week=date(1990, 1, 6))
         run.awaitTermination()
     return _fact_of(wh)
 
 
+@query
+def capped_loads(spark, sf):
+    """Four drops of each feed, at most two a load, until nothing waits."""
+    wh, folder, newest = _warehouse(spark, sf), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    turn = F.pmod(F.floor(F.date_diff(newest, "week_date") / 7), F.lit(4)).cast("int")
+    rows = base.sell_rows(spark, sf).withColumn("file_week", F.date_sub(newest, turn * 7))
+    stored.write_feed_files(rows, folder, 4 * base.pair_count(spark, sf))
+    turns = (f"turn{n}" for n in range(100))
+    while load_folder(wh, folder, stamp=next(turns), run_date=date(2026, 1, 1), start_week=date(1990, 1, 6), max_drops=2):
+        pass
+    return _fact_of(wh).drop("is_restated")
+
+
+@query
+def load_with_bad_feeds(spark, sf):
+    """One batch in which every seventh brand's drops are dated on a Thursday and the next one's have sums that don't fit: how
+    each load ended."""
+    wh, folder, newest = _warehouse(spark, sf), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    no = base.client_no(F.col("client_id")) % 7
+    huge = F.lit("9000000000000000").cast(S.MONEY)
+    rows = base.sell_rows(spark, sf).withColumns({
+        "file_week": F.when(no == 1, F.date_sub(newest, 2)).otherwise(newest),
+        "sales": F.when((no == 2) & (F.col("l_linenumber") == 1), huge).otherwise(F.col("sales"))})
+    stored.write_feed_files(rows, folder, base.pair_count(spark, sf))
+    feeds_of_all_weeks = base.feeds(spark, sf).withColumns({"is_active": F.lit(True), "lookback_weeks": F.lit(1000).cast("smallint")})
+    wh.replace_dimensions(pipeline_config=feeds_of_all_weeks)
+    load_folder(wh, folder, stamp="bad", run_date=date(2026, 1, 1))
+    return A.current_audit(wh.read("load_audit")).select("pipeline_id", "status", F.coalesce("fact_inserted", F.lit(0)).alias("fact_inserted"))
+
+
 def flagship_tables(spark, sf) -> Tables:
     """The messy feed, parsed, mapped, checked and merged, as the fact of the views."""
     parsed = _parsed(spark, sf)
