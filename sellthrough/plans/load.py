@@ -163,7 +163,7 @@ def _run(wh: Warehouse, raw: DataFrame, batch: Batch, strict: bool, run_id: str
         good_loads = loads.join(good, "load_id", "left_semi")
         mine = join_bounded(staging, good, "load_id", "left_semi", len(passing))
         wh.replace_batch("unmapped", unmapped_keys(mine), bid)
-        counters = upsert_fact(wh, mine, good_loads, totals, weeks_bound, len(passing))
+        counters = upsert_fact(wh, mine, good_loads, totals, weeks_bound, len(passing), bid)
         wh.replace_batch("loaded_files", files.join(good_loads.select("load_id", "pipeline_id"), "load_id")
                          .withColumn("loaded_at", _now()), bid)
     closed = [(load_id, *counters.get(load_id, (0, 0))) for (load_id,) in passing]
@@ -186,11 +186,13 @@ def _of_batch(rows: DataFrame, batch: Batch) -> DataFrame:
 
 
 def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: DataFrame, weeks_bound: int,
-                loads_bound: int) -> dict[str, tuple[int, int]]:
+                loads_bound: int, batch_id: str) -> dict[str, tuple[int, int]]:
     """Rewrite the fact partitions the loads touch, and count per load what was inserted and updated.
 
     The partitions are known from the control totals, so the fact is read and rewritten for those only; other pairs'
-    rows in them pass through."""
+    rows in them pass through. The new weeks are complete in a table of their own before a partition of the fact is touched,
+    and stay there until all are replaced: a rewrite that broke off is finished from it."""
+    finish_rewrite(wh)
     scope = (totals.filter("source = 'stg'").join(loads.select("load_id"), "load_id", "left_semi")
              .select(*wh.fact_partitions).distinct())
     # Distinct Saturdays: a few hundred dates, at most the calendar.
@@ -199,11 +201,21 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
     current = wh.read("fact_sales").filter(F.col("week_date").isin(weeks))
     if len(wh.fact_partitions) > 1:
         current = join_bounded(current, scope, list(wh.fact_partitions), "left_semi", weeks_bound)
-    wh.replace("fact_sales", matched_rows(current, merge_source(staging, loads, loads_bound), loaded_at))
+    wh.replace_batch("fact_next", matched_rows(current, merge_source(staging, loads, loads_bound), loaded_at), batch_id)
+    finish_rewrite(wh)
     counts = written_counters(wh.read("fact_sales").filter(F.col("week_date").isin(weeks)), loaded_at).collect()
     return {r.load_id: (r.fact_inserted, r.fact_updated) for r in counts}
 
 
+def finish_rewrite(wh: Warehouse) -> None:
+    """Bring weeks that are ready but not in the fact, if any, into it."""
+    ready = wh.read("fact_next")
+    batches = [r.batch_id for r in ready.select("batch_id").distinct().collect()]     # one writer: at most one
+    for batch_id in batches:
+        wh.replace("fact_sales", wh.batch("fact_next", batch_id))
+        wh.replace_batch("fact_next", wh.batch("fact_next", batch_id).limit(0), batch_id)
+
+
 def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date, start_week: date | None = None,
                 end_week: date | None = None, environment: str = "dev", pipeline_id: str | None = None,
                 strict: bool = False, again: bool = False, max_drops: int = S.MAX_DROPS_PER_LOAD) -> list[LoadResult]:

@@ -38,6 +38,7 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "staging": (S.STAGING, PAIR), "etl_stats": (_batched(S.ETL_STATS), ("batch_id",)),
     "unmapped": (_batched(S.UNMAPPED), ("batch_id",)), "load_audit": (S.LOAD_AUDIT_EVENT, ()),
     "fact_sales": (S.FACT_SALES, ("week_date",)),
+    "fact_next": (_batched(S.FACT_SALES), ("batch_id",)),      # weeks on their way into the fact
 }
 # Sorting inside files lets the Parquet reader skip row groups.
 SORTED_BY = {"fact_sales": ("week_date", "client_id", "retailer_id", "product_id")}

@@ -1,5 +1,6 @@
 """What a load does with files that are late, many, oddly named or broken."""
 import json
+import shutil
 from datetime import date
 
 import pytest
@@ -12,6 +13,7 @@ from sellthrough.operators.audit import current_audit
 from sellthrough.plans.load import load_folder, waiting_files
 from sellthrough.plans import reports, views
 from sellthrough.session import local_rows, shared_folder
+from sellthrough.sinks import Warehouse
 from sellthrough.sources.files import reader_path
 from sellthrough.streaming import ingest
 
@@ -110,3 +112,28 @@ def test_reports_read_the_weeks_they_show(spark, tmp_path):
     empty = views.Tables(t.fact.limit(0), *names)
     assert rows(reports.sales_by_retailer_latest(empty)) == [] == rows(reports.out_of_stock(empty))
     assert shared_folder(spark)
+
+
+def test_a_rewrite_that_breaks_off_is_finished(spark, tmp_path, monkeypatch):
+    wh, landing = warehouse(spark, tmp_path), str(tmp_path / "landing")
+    drop(tmp_path, "C101", "2026-09-26", [("2026-09-26", "A", 1), ("2026-09-19", "A", 1)])
+    load_folder(wh, landing, stamp="T1", **RUN)
+    drop(tmp_path, "C102", "2026-09-26", [("2026-09-26", "A", 2), ("2026-09-19", "B", 3)])
+    whole = Warehouse.replace
+
+    def breaks(self, table, new):
+        if table == "fact_sales":       # one week replaced by nothing, the other not touched
+            shutil.rmtree(f"{self.path(table)}/week_date=2026-09-26")
+            raise OSError("gone")
+        whole(self, table, new)
+
+    monkeypatch.setattr(Warehouse, "replace", breaks)
+    with pytest.raises(OSError):
+        load_folder(wh, landing, stamp="T2", **RUN)
+    monkeypatch.undo()
+    assert wh.read("fact_sales").count() == 1
+    again = load_folder(wh, landing, stamp="T2", **RUN)
+    assert [(r.load_id, r.passed) for r in again] == [("C102_R201_T2", True)]
+    assert rows(wh.read("fact_sales"), "client_id", "week_date", "sales") == [
+        ("C101", d("2026-09-19"), money(1)), ("C101", d("2026-09-26"), money(1)), ("C102", d("2026-09-19"), money(3)), ("C102", d("2026-09-26"), money(2))]
+    assert wh.read("fact_next").count() == 0
