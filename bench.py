@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sellthrough.registry import QUERIES  # noqa: E402
 from sellthrough.session import build_session  # noqa: E402
+from sellthrough.testbed import feeds  # noqa: E402
 
 HEADLINE = ["prestage_rollup", "stage_all", "control_totals", "reconcile_ok", "unmapped_keys_report", "merge_source_rows",
             "upsert_result", "upsert_counts", "file_stats", "latest_week", "sales_by_week",
@@ -32,8 +33,11 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
-    # The first queries write what the others read: `store_landing` (which also pays for the JVM's start) and `store_fact`.
-    times = {"store_landing": run("prestage_rollup"), "store_fact": run("latest_week")}
+    # What the others read is written first: `store_feed` (which also pays for the JVM's start), `store_landing`, `store_fact`.
+    start = time.perf_counter()
+    feeds.raw_feed(spark, sf_dir)
+    times = {"store_feed": round(time.perf_counter() - start, 3)}
+    times |= {"store_landing": run("prestage_rollup"), "store_fact": run("latest_week")}
     times |= {name: run(name) for name in names}
     print(json.dumps({"metric": "total time of headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

@@ -23,15 +23,18 @@ def derive(annotated: DataFrame, summary: DataFrame, files: DataFrame, loads: Da
 
 
 def parse_feed(raw: DataFrame, files: DataFrame, loads: DataFrame, *, files_bound: int | None = None,
-               weeks_bound: int | None = None) -> Parsed:
+               weeks_bound: int | None = None, keep_rows: bool = True) -> Parsed:
     """Parse a batch. `files` and `loads` hold one row per file and per load; without given bounds they are counted.
 
     The judged rows are written to a work table once and everything is derived from there: they serve the summary, the
     output and the rejects, and a filter on their status would otherwise be pushed down into the raw text, parsing each
-    cell again for the filter."""
+    cell again for the filter. Without `keep_rows` nothing is written: for statistics alone, which are one aggregate over the
+    judged rows and need no raw text."""
     files_bound = files.count() if files_bound is None else files_bound
     weeks_bound = window_weeks(loads) if weeks_bound is None else weeks_bound
-    annotated = materialise(annotate(raw, files, loads, files_bound), "parsed")
+    annotated = annotate(raw, files, loads, files_bound)
+    if keep_rows:
+        annotated = materialise(annotated, "parsed")
     return derive(annotated, summarise(annotated), files, loads, weeks_bound)
 
 

@@ -78,10 +78,10 @@ def value_functions(spark, sf):
 
 # ---- parse ----------------------------------------------------------------------------------------------------------
 
-def _parsed(spark: SparkSession, sf: str) -> Parsed:
+def _parsed(spark: SparkSession, sf: str, keep_rows: bool = True) -> Parsed:
     pairs = base.pair_count(spark, sf)
     return parse_feed(feeds.raw_feed(spark, sf), feeds.files(spark, sf), base.loads(spark, sf), files_bound=2 * pairs,
-                      weeks_bound=base.WINDOW_WEEKS * pairs)
+                      weeks_bound=base.WINDOW_WEEKS * pairs, keep_rows=keep_rows)
 
 
 @query
@@ -112,18 +112,18 @@ def parse_rejects(spark, sf):
 
 @query
 def parse_stats(spark, sf):
-    return _parsed(spark, sf).load_stats
+    return _parsed(spark, sf, keep_rows=False).load_stats
 
 
 @query
 def file_stats(spark, sf):
-    return _parsed(spark, sf).file_stats
+    return _parsed(spark, sf, keep_rows=False).file_stats
 
 
 @query
 def newest_file_wins(spark, sf):
     """Rows used and superseded per load, week and drop."""
-    lines = with_newest(_parsed(spark, sf).summary).filter("status = 'kept'")
+    lines = with_newest(_parsed(spark, sf, keep_rows=False).summary).filter("status = 'kept'")
     return lines.groupBy("load_id", "week_date", "file_week").agg(
         F.sum(F.when(F.col("is_used"), F.col("rows")).otherwise(0)).alias("rows_used"),
         F.sum(F.when(F.col("is_used"), F.lit(0)).otherwise(F.col("rows"))).alias("superseded_rows"))
@@ -132,7 +132,7 @@ def newest_file_wins(spark, sf):
 @query
 def window_policy(spark, sf):
     """Loads refused because a file reaches beyond the window."""
-    return _parsed(spark, sf).violations
+    return _parsed(spark, sf, keep_rows=False).violations
 
 
 @query
