@@ -24,8 +24,8 @@ def resolve_windows(feeds: DataFrame, files: DataFrame, run_date: Column, start_
     rows = rows.withColumn("window_start", F.coalesce(
         start, F.when(~history, F.date_sub(F.col("oldest"), back)), F.date_sub(F.col("window_end"), back)))
     error = (F.when(~is_week_end(F.col("window_start")) | ~is_week_end(F.col("window_end")),
-                    F.lit("window bounds must be Saturdays"))
-             .when(F.col("window_start") > F.col("window_end"), F.lit("window start is after its end")))
+                    F.lit("a load's first and last week have to end on Saturdays"))
+             .when(F.col("window_start") > F.col("window_end"), F.lit("a load's first week comes after its last")))
     return rows.withColumn("window_error", error).drop("oldest", "newest")
 
 

@@ -34,7 +34,6 @@ SYNONYMS = {
 }
 
 # Reject texts, in the order the rules are tried. The last two are followed by the feed's own id.
-REJECT_RAGGED = "more cells than the header"
 REJECT_TOTAL = "summary/total row"
 REJECT_WEEK = "unparseable week_date"
 REJECT_SATURDAY = "week_date is not a Saturday"
@@ -43,6 +42,8 @@ REJECT_SALES = "unparseable sales"
 REJECT_INVENTORY = "unparseable inventory"
 REJECT_CLIENT = "client is not "
 REJECT_RETAILER = "retailer is not "
+# An own rule, tried before them.
+REJECT_RAGGED = "more cells than the header"
 
 # Limits.
 MAX_DROPS_PER_LOAD = 20

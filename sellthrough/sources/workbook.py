@@ -20,7 +20,7 @@ from sellthrough.sources.layout import ambiguous, column_positions, empty_feed,
 
 HEADER_SEARCH_ROWS = 10
 CHUNK_ROWS = 5000
-NO_HEADER = "no header row with a week column in the first 10 rows"
+NO_HEADER = f"none of the first {HEADER_SEARCH_ROWS} rows is a header with a week"
 # Built-in number formats that show a date.
 DATE_FORMATS = {14, 15, 16, 17, 22, *range(27, 37), *range(50, 59)}
 SHEET_ROWS = "source_file string, names array<string>, cells array<string>, header_error string"

@@ -68,6 +68,7 @@ DOCUMENT_RECORDS = 5000
 
 # ---- feed files -----------------------------------------------------------------------------------------------------
 
+# Header lines of two feed layouts.
 CSV_HEADERS = {
     "serial": ("Week_Date", "Client", "Retailer", "Product_ID", "Sales", "Inventory"),
     "style": (" week_date ", "retailer", "client", "store", "style", "Net Sales", "On Hand"),

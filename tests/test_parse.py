@@ -6,18 +6,18 @@ from sellthrough.plans.parse import check_violations, parse_feed
 
 SERIAL = ("week_date", "client_id", "retailer_id", "product_id", "sales", "inventory")
 FX1 = [
-    ("09/25/2026", "C101", "R201", "010100000001", "$10.00", "5", "week_date is not a Saturday"),
-    ("09/26/2026", "C101", "R201", "010100000001", "abc", "5", "unparseable sales"),
-    ("09/26/2026", "C101", "R201", "010100000002", "$1,234.50", "7", None),
-    ("2026-09-26", "C101", "R201", "010100000003", "($5.25)", "1,200", None),
-    ("9/26/2026", "c101", "R201", "010100000003", "1", "1", "client is not C101"),
-    ("09/26/2026", "C101", "R202", "010100000003", "1", "1", "retailer is not R201"),
+    ("09/15/2026", "C101", "R201", "770000000042", "3.30", "0", "week_date is not a Saturday"),
+    ("09/19/2026", "C101", "R201", "770000000042", "12 apples", "9", "unparseable sales"),
+    ("09/19/2026", "C101", "R201", "770000000042", "$20,088.40", "31", None),
+    ("2026-09-26", "C101", "R201", "770000000043", "($5.25)", "1,200", None),
+    ("9/26/2026", "c101", "R201", "770000000043", "1", "1", "client is not C101"),
+    ("09/26/2026", "C101", "R202", "770000000043", "1", "1", "retailer is not R201"),
     ("09/26/2026", "C101", "R201", "", "1", "1", "missing product key"),
-    ("09/26/2026", "C101", "R201", "010100000003", "1", "$5", "unparseable inventory"),
+    ("09/26/2026", "C101", "R201", "770000000043", "1", "$5", "unparseable inventory"),
     ("13/45/2026", "C101", "R201", "total", "x", "y", "summary/total row"),
-    ("13/45/2026", "C101", "R201", "010100000003", "1", "1", "unparseable week_date"),
+    ("13/45/2026", "C101", "R201", "770000000043", "1", "1", "unparseable week_date"),
     ("", "", "", "", "", " ", None),
-    ("08/22/2026", "C101", "R201", "010100000003", "1", "1", None),
+    ("08/22/2026", "C101", "R201", "770000000043", "1", "1", None),
 ]
 
 
@@ -25,7 +25,7 @@ def test_rules_in_order(spark):
     files, loads = one_load(spark, {"f": "2026-09-26"})
     parsed = parse_feed(raw_rows(spark, [("f", *line[:6]) for line in FX1], SERIAL), files, loads)
     assert rows(parsed.output, "product_id", "sales", "inventory", "week_date") == [
-        ("010100000002", money(1234.5), 7, d("2026-09-26")), ("010100000003", money(-5.25), 1200, d("2026-09-26"))]
+        ("770000000042", money(20088.4), 31, d("2026-09-19")), ("770000000043", money(-5.25), 1200, d("2026-09-26"))]
     assert sorted(r.reject_reason for r in parsed.rejects.collect()) == sorted(line[6] for line in FX1 if line[6])
     stats = parsed.load_stats.first()
     assert (stats.raw_rows, stats.parse_rejects, stats.out_of_window, stats.parsed_rows) == (11, 8, 1, 2)

@@ -36,11 +36,11 @@ def test_pending_files_in_order(spark, tmp_path):
 
 
 def test_csv_layouts_are_read_together(spark, tmp_path):
-    a = put(tmp_path, "a.csv", 'Week_Date,Client,Retailer,Product_ID,Sales,Inventory\n09/26/2026,C101,R201,010100000002,"$1,234.50",7\n')
+    a = put(tmp_path, "a.csv", 'Week_Date,Client,Retailer,Product_ID,Sales,Inventory\n9/19/2026,C7,R9,770000000042,"$20,088.40",31\n')
     b = put(tmp_path, "b.csv", '﻿" week_date ",retailer,client,store,style,sales,inventory\n2026-09-26,R203,C101,1,S01,12.5,3\n\n,,,,TOTAL,12.5,3\n2026-09-26,R203\n')
     c = put(tmp_path, "c.csv", "Week_Date,weekEnding,Sales\n1,2,3\n")
     raw = sources.read_csv_feed(spark, [a, b, c]).withColumn("f", F.substring_index("source_file", "/", -1))
-    assert rows(raw.filter("f = 'a.csv'"), "product_id", "sales", "style") == [("010100000002", "$1,234.50", None)]
+    assert rows(raw.filter("f = 'a.csv'"), "product_id", "sales", "style") == [("770000000042", "$20,088.40", None)]
     assert rows(raw.filter("f = 'b.csv'"), "week_date", "style", "inventory") == [("", "TOTAL", "3"), ("2026-09-26", "", ""), ("2026-09-26", "S01", "3")]
     assert rows(raw.filter("f = 'c.csv'"), "layout_error") == [("two columns mean week_date",)]
     name = raw.filter("f = 'b.csv'").first().source_file
@@ -79,7 +79,7 @@ def test_workbook(spark, tmp_path):
     bad = put(tmp_path, "b.xlsx", workbook_bytes([("no header here", "at all")] * 12))
     raw = sources.read_feed_files(spark, {"xlsx": [good, bad]})
     assert rows(raw.filter("layout_error IS NULL"), "week_date", "style", "size", "sales", "inventory") == [("2026-09-26", "S01", "", "12.5", "3")]
-    assert "no header row" in raw.filter("layout_error IS NOT NULL").first().layout_error
+    assert "none of the first 10 rows" in raw.filter("layout_error IS NOT NULL").first().layout_error
 
 
 def test_unsupported_format(spark):

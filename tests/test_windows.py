@@ -26,7 +26,7 @@ def test_window(spark, run, files, start, end, first, last, kind):
     assert (got.window_start, got.window_end, got.load_type, got.window_error) == (d(first), d(last), kind, None)
 
 
-@pytest.mark.parametrize("start,end,text", [("2026-09-25", "2026-09-26", "Saturdays"), ("2026-10-03", "2026-09-26", "after its end")])
+@pytest.mark.parametrize("start,end,text", [("2026-09-25", "2026-09-26", "Saturdays"), ("2026-10-03", "2026-09-26", "after its last")])
 def test_bad_bounds(spark, start, end, text):
     with pytest.raises(ValueError, match=text):
         check_windows(windows(spark, "2026-10-01", [], start, end))
