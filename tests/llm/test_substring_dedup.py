@@ -38,3 +38,17 @@ def test_odd_rows(spark):
     left = [(x.doc_id, x.text) for x in without_passages(docs, found).collect()]
     assert len(left) == len(rows) and all(len(t) < 2000 for i, t in left if i == 4) and (6, "a" * 100_000) in left and (None, text) in left
     assert repeated_passages(documents(spark, [])).collect() == []
+
+
+def test_passages_whose_chunks_also_occur_alone_before(spark):
+    r = rng(12)
+    longer = [a + b for a in VOCABULARY[::3] for b in ("ta", "rus", "nol")]
+    passages = [prose(r, 51, longer) for _ in range(40)]
+    quotes = []
+    for passage in passages:  # pieces of it, each in a document of its own
+        w = passage.split()
+        quotes += [f"{prose(r, r.randrange(20, 40), longer)} {' '.join(w[i:i + 9])} {prose(r, 20, longer)}" for i in range(0, 44, 2)]
+    r.shuffle(quotes)
+    twice = [(10_000 + i, f"{prose(r, 40, longer)} {passages[i % 40]} {prose(r, 40, longer)}") for i in range(80)]
+    found = repeated_passages(documents(spark, list(enumerate(quotes)) + twice)).collect()
+    assert {(x.doc_id, x.first_doc_id) for x in found} == {(10_040 + i, 10_000 + i) for i in range(40)}
