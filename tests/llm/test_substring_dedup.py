@@ -52,3 +52,17 @@ def test_passages_whose_chunks_also_occur_alone_before(spark):
     twice = [(10_000 + i, f"{prose(r, 40, longer)} {passages[i % 40]} {prose(r, 40, longer)}") for i in range(80)]
     found = repeated_passages(documents(spark, list(enumerate(quotes)) + twice)).collect()
     assert {(x.doc_id, x.first_doc_id) for x in found} == {(10_040 + i, 10_000 + i) for i in range(40)}
+
+
+def test_passages_in_scripts_of_two_and_three_bytes_a_letter(spark):
+    r = rng(13)
+    cyrillic = [a + b + c for a in ("бра", "вед", "гор", "дом", "зна") for b in ("о", "е", "и", "у") for c in ("ка", "ть", "ст", "ли", "на", "ро")]
+    devanagari = [a + b + c for a in "कखगचजटडतदनपबमरलसह" for b in ("ान", "ित", "ूल", "ेर") for c in ("का", "ती", "नम")]
+    rows, later = [], {}
+    for k, words in enumerate((cyrillic, devanagari)):
+        for i in range(100):
+            passage, at = prose(r, 51, words), 1000 * k + i
+            rows += [(at + 10_000 * n, f"{prose(r, 40, words)} {passage} {prose(r, 40, words)}") for n in (0, 1)]
+            later[at + 10_000] = at
+    found = repeated_passages(documents(spark, rows)).collect()
+    assert {x.doc_id: x.first_doc_id for x in found} == later
