@@ -9,9 +9,12 @@ from sellthrough.llm.chat import format_chats, read_back, text_content
 from sellthrough.llm.decontaminate import contamination
 from sellthrough.llm.langid import held_out, identify, train
 from sellthrough.llm.line_dedup import drop_recurring_lines
+from sellthrough.llm.merkle import proofs
 from sellthrough.llm.mixing import mix
 from sellthrough.llm.near_dedup import NearDupes, near_duplicates
 from sellthrough.llm.neighbours import nearest, usable
+from sellthrough.llm.ngram_join import similar_documents
+from sellthrough.llm.periodic import periodic_runs
 from sellthrough.llm.substring_dedup import repeated_passages
 from sellthrough.llm.token_count import count_with_edits, redactions
 from sellthrough.llm.warc import captures, read_archives, write_archives
@@ -82,6 +85,21 @@ def op10_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows, checked against a copy in which documents of even crc32 have lost their line breaks."""
+    text = F.col("text")
+    lost = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate(text, "\n", "")).otherwise(text)
+    return proofs(_table(spark, sf_dir, "documents"), lost).drop("proof")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"), plant=True, texts=False)
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_warc_transactions": op2_warc_transactions,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_log_template_lines": op8_log_template_lines,
     "op9_inverted_multi_index": op9_inverted_multi_index,
     "op10_mixing_to_weights": op10_mixing_to_weights,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
 }
 
 OP1_SQL = r"""
