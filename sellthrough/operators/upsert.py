@@ -28,8 +28,9 @@ def merge_source(staging: DataFrame, loads: DataFrame, loads_bound: int) -> Data
 def matched_rows(fact: DataFrame, source: DataFrame, loaded_at: Column, file_week_guard: bool = False) -> DataFrame:
     """Full outer join of fact and merge source: the new fact rows plus `outcome` (updated, inserted, kept).
 
-    Both sides are unique on the four keys, so no key is heavy. With the guard (an extension, off by default) fact and
-    source carry `file_week`, and a row from an older drop does not replace one from a newer drop."""
+    Both sides are unique on the four keys, so no key is heavy. `file_week`, the week of the drop that a row comes from, goes along where both
+    sides have it. With the guard (an extension, off by default) a row from an older drop does not replace one from a newer drop; rows of
+    unknown drops are replaced."""
     old, new = fact.alias("f"), source.alias("s")
     on = [F.col(f"f.{k}") == F.col(f"s.{k}") for k in FACT_KEY]
     rows = old.join(new, on, "full_outer")
@@ -37,7 +38,8 @@ def matched_rows(fact: DataFrame, source: DataFrame, loaded_at: Column, file_wee
     if file_week_guard:
         arrives = arrives & ~F.coalesce(F.col("s.file_week") < F.col("f.file_week"), F.lit(False))
     outcome = F.when(arrives & exists, "updated").when(arrives, "inserted").otherwise("kept")
-    values = ["sales", "inventory", "load_id", *(["file_week"] if file_week_guard else [])]
+    versioned = "file_week" in fact.columns and "file_week" in source.columns
+    values = ["sales", "inventory", "load_id", *(["file_week"] if versioned else [])]
     return rows.select(
         *[F.coalesce(f"f.{k}", f"s.{k}").alias(k) for k in FACT_KEY],
         *[F.when(arrives, F.col(f"s.{v}")).otherwise(F.col(f"f.{v}")).alias(v) for v in values],
@@ -46,6 +48,13 @@ def matched_rows(fact: DataFrame, source: DataFrame, loaded_at: Column, file_wee
         outcome.alias("outcome"))
 
 
+def with_file_weeks(source: DataFrame, file_weeks: DataFrame, loads: DataFrame, weeks_bound: int) -> DataFrame:
+    """Merge source with the week of the drop that reports each pair's week. `file_weeks` has a line per load and week, `weeks_bound` at most."""
+    of_pair = ["client_id", "retailer_id", "week_date"]
+    lines = file_weeks.join(loads.select("load_id", "client_id", "retailer_id"), "load_id").groupBy(*of_pair).agg(F.max("file_week").alias("file_week"))
+    return join_bounded(source, lines, of_pair, "left", weeks_bound)
+
+
 def upsert_weekly(fact: DataFrame, staging: DataFrame, loads: DataFrame, loaded_at: Column,
                   loads_bound: int) -> tuple[DataFrame, DataFrame]:
     """(fact rows after the upsert, counters per load), both lazy and from the same joined rows."""

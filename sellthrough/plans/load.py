@@ -1,13 +1,15 @@
 """One batch from raw rows to the fact table: many loads at once, each judged on its own.
 
 Order of writes: parsed rows, statistics, landing, staging, control totals, then the fact, and the audit's SUCCESS last.
-Every step replaces its own scope, so running a batch again ends in the same state. Each step reads what the one before
+Every step replaces its own scope and the fact's weeks change by one commit that names the batch, so running a batch again ends in the
+same state wherever the first run broke off: a batch that is in the fact is not merged again. Each step reads what the one before
 wrote, which also keeps lineage short when executors are lost. The driver sees file names, one line per load and week
 numbers, never row data."""
 from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,14 +19,14 @@ from sellthrough.operators.audit import audit_event, error_text, stats_json
 from sellthrough.operators.classify import annotate
 from sellthrough.operators.joins import join_bounded
 from sellthrough.operators.mapping import map_products, rollup, unmapped_keys
-from sellthrough.operators.summary import summarise
+from sellthrough.operators.summary import keep_files, summarise
 from sellthrough.operators.totals import control_totals, verdicts
-from sellthrough.operators.upsert import matched_rows, merge_source, written_counters
+from sellthrough.operators.upsert import matched_rows, merge_source, with_file_weeks, written_counters
 from sellthrough.operators.windows import resolve_windows
 from sellthrough.plans.parse import check_violations, derive, window_weeks
 from sellthrough.session import local_rows
 from sellthrough.sinks.warehouse import Warehouse
-from sellthrough.sources.files import match_feeds, next_files, pending_files, list_feed_files
+from sellthrough.sources.files import archive_files, list_feed_files, match_feeds, next_files, pending_files, unloaded
 from sellthrough.sources.metadata import active_feeds
 from sellthrough.sources.reader import read_feed_files
 
@@ -41,6 +43,8 @@ class Batch:
     n_files: int
     n_loads: int
     refused: dict[str, tuple[str, str]]     # load id -> its feed, and why its files can't be loaded
+    identities: DataFrame                   # schemas.FILE_IDENTITY
+    fingerprint: str                        # of all files, to tell a repeated batch from another one of its id
 
 
 @dataclass(frozen=True)
@@ -58,11 +62,12 @@ def _now() -> Column:
 
 def plan_batch(spark: SparkSession, files: DataFrame, config: DataFrame, *, batch_id: str, stamp: str,
                run_date: date, start_week: date | None = None, end_week: date | None = None) -> Batch | None:
-    """Fix files, load ids and windows. `files` has pipeline_id, source_file, file_week, file_format.
+    """Fix files, load ids and windows. `files` has pipeline_id, source_file, file_week, file_format and, if known, length and modified.
 
     File names and one line per feed come to the driver, as Spark's readers want paths; both become small local
     relations. None when no file waits."""
-    rows = files.select("pipeline_id", "source_file", "file_week", "file_format").orderBy("file_week", "source_file").collect()
+    known = files.withColumns({f.name: F.lit(None).cast(f.dataType) for f in S.FILE_IDENTITY.fields if f.name not in files.columns})
+    rows = known.select("pipeline_id", "source_file", "file_week", "file_format", "length", "modified").orderBy("file_week", "source_file").collect()
     if not rows:
         return None
     local = local_rows(spark, [(r.pipeline_id, r.source_file, r.file_week) for r in rows],
@@ -85,7 +90,9 @@ def plan_batch(spark: SparkSession, files: DataFrame, config: DataFrame, *, batc
         paths.setdefault(r.file_format, []).append(r.source_file)
     return Batch(batch_id, local_rows(spark, [(load_of[r.pipeline_id], r.source_file, r.file_week) for r in rows], S.FILES),
                  local_rows(spark, [tuple(p)[:-1] for p in good], S.LOADS), paths, len(rows), len(good),
-                 {p.load_id: (p.pipeline_id, bad[p.pipeline_id]) for p in planned if p.window_error})
+                 {p.load_id: (p.pipeline_id, bad[p.pipeline_id]) for p in planned if p.window_error},
+                 local_rows(spark, [(r.source_file, r.length, r.modified) for r in rows], S.FILE_IDENTITY),
+                 sha256(repr([(load_of[r.pipeline_id], r.source_file, r.length, r.modified) for r in rows]).encode()).hexdigest())
 
 
 def run_load(warehouse: Warehouse, raw: DataFrame, batch: Batch, *, strict: bool = False,
@@ -163,9 +170,9 @@ def _run(wh: Warehouse, raw: DataFrame, batch: Batch, strict: bool, run_id: str
         good_loads = loads.join(good, "load_id", "left_semi")
         mine = join_bounded(staging, good, "load_id", "left_semi", len(passing))
         wh.replace_batch("unmapped", unmapped_keys(mine), bid)
-        counters = upsert_fact(wh, mine, good_loads, totals, weeks_bound, len(passing), bid)
+        counters = upsert_fact(wh, mine, good_loads, totals, keep_files(wh.batch("parse_summary", bid)), weeks_bound, batch)
         wh.replace_batch("loaded_files", files.join(good_loads.select("load_id", "pipeline_id"), "load_id")
-                         .withColumn("loaded_at", _now()), bid)
+                         .join(batch.identities, "source_file").withColumn("loaded_at", _now()), bid)
     closed = [(load_id, *counters.get(load_id, (0, 0))) for (load_id,) in passing]
     if closed:
         rows = local_rows(wh.spark, closed, S.table_schema("load_id string, inserted bigint, updated bigint"))
@@ -185,14 +192,16 @@ def _of_batch(rows: DataFrame, batch: Batch) -> DataFrame:
     return join_bounded(rows, batch.loads.select(*keys), keys, "left_semi", batch.n_loads)
 
 
-def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: DataFrame, weeks_bound: int,
-                loads_bound: int, batch_id: str) -> dict[str, tuple[int, int]]:
+def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: DataFrame, file_weeks: DataFrame, weeks_bound: int,
+                batch: Batch) -> dict[str, tuple[int, int]]:
     """Rewrite the fact partitions the loads touch, and count per load what was inserted and updated.
 
     The partitions are known from the control totals, so the fact is read and rewritten for those only; other pairs'
-    rows in them pass through. The new weeks are complete in a table of their own before a partition of the fact is touched,
-    and stay there until all are replaced: a rewrite that broke off is finished from it."""
-    finish_rewrite(wh)
+    rows in them pass through. The new weeks are written beside the old ones and counted there; one commit puts all of them into the
+    fact, with the batch's id and counters. A batch that is in the fact already is answered from its commit."""
+    done = wh.committed("fact_sales", batch.batch_id, batch.fingerprint)
+    if done is not None:
+        return {load_id: tuple(counts) for load_id, counts in done.counters.items()}
     scope = (totals.filter("source = 'stg'").join(loads.select("load_id"), "load_id", "left_semi")
              .select(*wh.fact_partitions).distinct())
     # Distinct Saturdays: a few hundred dates, at most the calendar.
@@ -201,44 +210,42 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
     current = wh.read("fact_sales").filter(F.col("week_date").isin(weeks))
     if len(wh.fact_partitions) > 1:
         current = join_bounded(current, scope, list(wh.fact_partitions), "left_semi", weeks_bound)
-    wh.replace_batch("fact_next", matched_rows(current, merge_source(staging, loads, loads_bound), loaded_at), batch_id)
-    finish_rewrite(wh)
-    counts = written_counters(wh.read("fact_sales").filter(F.col("week_date").isin(weeks)), loaded_at).collect()
-    return {r.load_id: (r.fact_inserted, r.fact_updated) for r in counts}
-
-
-def finish_rewrite(wh: Warehouse) -> None:
-    """Bring weeks that are ready but not in the fact, if any, into it."""
-    ready = wh.read("fact_next")
-    batches = [r.batch_id for r in ready.select("batch_id").distinct().collect()]     # one writer: at most one
-    for batch_id in batches:
-        wh.replace("fact_sales", wh.batch("fact_next", batch_id))
-        wh.replace_batch("fact_next", wh.batch("fact_next", batch_id).limit(0), batch_id)
+    source = with_file_weeks(merge_source(staging, loads, batch.n_loads), file_weeks, loads, weeks_bound)
+    version = wh.stage("fact_sales", matched_rows(current, source, loaded_at, wh.order_guard))
+    counts = written_counters(wh.staged("fact_sales", version), loaded_at).collect()
+    counters = {r.load_id: (r.fact_inserted, r.fact_updated) for r in counts}
+    wh.commit("fact_sales", version, batch.batch_id, batch.fingerprint, {k: list(v) for k, v in counters.items()})
+    return counters
 
 
 def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date, start_week: date | None = None,
                 end_week: date | None = None, environment: str = "dev", pipeline_id: str | None = None,
-                strict: bool = False, again: bool = False, max_drops: int = S.MAX_DROPS_PER_LOAD) -> list[LoadResult]:
+                strict: bool = False, again: bool = False, max_drops: int = S.MAX_DROPS_PER_LOAD,
+                archive_folder: str | None = None) -> list[LoadResult]:
     """Load the drops that wait below a folder (the oldest `max_drops` of each feed), or one feed's. Explicit weeks make it a
     history load. Returns nothing when no file waits.
 
-    Files of loads that succeeded are remembered and wait no more, but for the batch of the same stamp, which is repeated, and
-    with `again`, which takes all files that lie there."""
+    Files of loads that succeeded are remembered, by path, length and time of modification, and wait no more, but for the batch of the same
+    stamp, which is repeated, and with `again`, which takes all files that lie there. With `archive_folder` they move there, to the same place
+    below it; a part that comes late takes the parts of its drop from there."""
     spark = warehouse.spark
     config = active_feeds(warehouse.read("pipeline_config"), environment)
     if pipeline_id:
         config = config.filter(F.col("pipeline_id") == pipeline_id)
     loaded = None if again else warehouse.read("loaded_files").filter(F.col("batch_id") != stamp)
-    batch = plan_batch(spark, next_files(spark, folder, config, loaded, max_drops), config, batch_id=stamp, stamp=stamp, run_date=run_date,
-                       start_week=start_week, end_week=end_week)
+    batch = plan_batch(spark, next_files(spark, folder, config, loaded, max_drops, archive_folder), config, batch_id=stamp, stamp=stamp,
+                       run_date=run_date, start_week=start_week, end_week=end_week)
     if batch is None:
         return []
-    return run_load(warehouse, read_feed_files(spark, batch.paths_by_format), batch, strict=strict)
+    results = run_load(warehouse, read_feed_files(spark, batch.paths_by_format), batch, strict=strict)
+    if archive_folder:
+        done = [r.source_file for r in warehouse.batch("loaded_files", stamp).select("source_file").collect()]
+        archive_files(spark, done, folder, archive_folder)
+    return results
 
 
 def waiting_files(warehouse: Warehouse, folder: str) -> DataFrame:
     """Files below a folder that belong to a feed and aren't loaded yet, oldest first."""
     files = pending_files(list_feed_files(warehouse.spark, folder))
-    waiting = match_feeds(files, warehouse.read("pipeline_config"), folder).join(
-        warehouse.read("loaded_files").select("source_file"), "source_file", "left_anti")
+    waiting = unloaded(match_feeds(files, warehouse.read("pipeline_config"), folder), warehouse.read("loaded_files"))
     return waiting.orderBy("file_week", "source_file")

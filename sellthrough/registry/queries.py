@@ -2,6 +2,7 @@
 dates as ISO text and decimals as doubles."""
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from datetime import date
 
@@ -654,6 +655,63 @@ def capped_loads(spark, sf):
     return _fact_of(wh).drop("is_restated")
 
 
+def _two_drops(spark, sf) -> list[DataFrame]:
+    """Sell rows of all weeks but the newest, and the next week's restatement, as in `upsert_result`."""
+    rows, newest = base.sell_rows(spark, sf), base.newest_week(spark, sf)
+    first = rows.filter(F.col("week_date") <= F.date_sub(newest, 7))
+    recent = rows.filter((F.col("week_date") >= F.date_sub(newest, 28)) & (F.col("l_linenumber") != 7))
+    return [first, recent.withColumn("sales", base.restated(F.col("sales")))]
+
+
+ALL_WEEKS = {"run_date": date(2026, 1, 1), "start_week": date(1990, 1, 6)}
+
+
+@query
+def replayed_batch(spark, sf):
+    """Two drops, and the second one's batch run again: the state of one run."""
+    wh, folder, newest = _warehouse(spark, sf), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    for n, (drop, stamps) in enumerate(zip(_two_drops(spark, sf), (["one"], ["two", "two"]))):
+        stored.write_feed_files(drop.withColumn("file_week", F.date_sub(newest, 7 - 7 * n)), folder, base.pair_count(spark, sf))
+        for stamp in stamps:
+            load_folder(wh, folder, stamp=stamp, **ALL_WEEKS)
+    return _fact_of(wh)
+
+
+@query
+def redelivered_files(spark, sf):
+    """A drop that is sent again under its name, with other rows, after the first one was loaded and moved to the archive."""
+    wh, folder, archive = _warehouse(spark, sf), work_folder(spark, "landing"), work_folder(spark, "archive")
+    for n, drop in enumerate(_two_drops(spark, sf)):
+        stored.write_feed_files(drop.withColumn("file_week", base.newest_week(spark, sf)), folder, base.pair_count(spark, sf))
+        load_folder(wh, folder, stamp=f"turn{n}", archive_folder=archive, **ALL_WEEKS)
+    return _fact_of(wh)
+
+
+@query
+def out_of_order_drops(spark, sf):
+    """Three overlapping drops, the middle, the newest and the oldest one loaded in this order by a warehouse that guards the order."""
+    wh, folder, newest = dataclasses.replace(_warehouse(spark, sf), order_guard=True), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    rows, week, line = base.sell_rows(spark, sf), F.col("week_date"), F.col("l_linenumber")
+    twice = base.restated(base.restated(F.col("sales")))
+    drops = [(7, rows.filter(week.between(F.date_sub(newest, 56), F.date_sub(newest, 7)) & (line != 6)).withColumn("sales", twice)),
+             (0, _two_drops(spark, sf)[1]), (14, rows.filter(week <= F.date_sub(newest, 14)))]
+    for age, drop in drops:
+        stored.write_feed_files(drop.withColumn("file_week", F.date_sub(newest, age)), folder, base.pair_count(spark, sf))
+        load_folder(wh, folder, stamp=f"age{age}", **ALL_WEEKS)
+    return _fact_of(wh).drop("is_restated")
+
+
+@query
+def stream_capped(spark, sf):
+    """Four drops of each feed that arrive at once, handed to loads of at most two by the stream's backlog."""
+    wh, folder, newest = _warehouse(spark, sf), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    turn = F.pmod(F.floor(F.date_diff(newest, "week_date") / 7), F.lit(4)).cast("int")
+    rows = base.sell_rows(spark, sf).withColumn("file_week", F.date_sub(newest, turn * 7))
+    stored.write_feed_files(rows, folder, 4 * base.pair_count(spark, sf))
+    ingest(wh, folder, work_folder(spark, "stream"), max_drops=2, **ALL_WEEKS).awaitTermination()
+    return _fact_of(wh).drop("is_restated")
+
+
 @query
 def load_with_bad_feeds(spark, sf):
     """One batch in which every seventh brand's drops are dated on a Thursday and the next one's have sums that don't fit: how

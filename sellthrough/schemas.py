@@ -86,6 +86,8 @@ PRODUCT_STM = table_schema("""client_id string, product_level string, src_produc
     size string, product_id string""")
 
 FILES = table_schema("load_id string, source_file string, file_week date")
+# A file is known by its path, length and time of modification: one sent again under its name is another file.
+FILE_IDENTITY = table_schema("source_file string, length bigint, modified timestamp")
 LOADS = table_schema("""load_id string, pipeline_id string, client_id string, retailer_id string, product_level string,
     load_type string, window_start date, window_end date""")
 
@@ -105,8 +107,13 @@ LOAD_AUDIT_EVENT = table_schema("""load_id string, event_ts timestamp, pipeline_
 LOAD_FILES = table_schema("""load_id string, source_file string, file_week_end date, raw_rows bigint, parsed_rows bigint,
     rows_used bigint, superseded_rows bigint, parse_rejects bigint, out_of_window bigint, loaded_at timestamp""")
 UNRECOGNISED_FILES = table_schema("source_file string, seen_at timestamp")
-LOADED_FILES = table_schema("load_id string, pipeline_id string, source_file string, file_week date, loaded_at timestamp")
+LOADED_FILES = table_schema("""load_id string, pipeline_id string, source_file string, file_week date, length bigint,
+    modified timestamp, loaded_at timestamp""")
+BACKLOG = table_schema("""pipeline_id string, source_file string, file_week date, file_format string, length bigint,
+    modified timestamp, turn bigint""")
 UNMAPPED = table_schema("""load_id string, src_product_key string, first_week date, last_week date, rows bigint,
     sales decimal(18,2)""")
 FACT_SALES = table_schema("""week_date date, client_id string, retailer_id string, product_id string, sales decimal(18,2),
     inventory bigint, load_id string, inserted_at timestamp, updated_at timestamp""")
+# As stored: with the week of the drop that a row comes from.
+FACT_STORED = T.StructType([*FACT_SALES.fields, T.StructField("file_week", T.DateType())])

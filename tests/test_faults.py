@@ -1,6 +1,5 @@
 """What a load does with files that are late, many, oddly named or broken."""
 import json
-import shutil
 from datetime import date
 
 import pytest
@@ -114,26 +113,94 @@ def test_reports_read_the_weeks_they_show(spark, tmp_path):
     assert shared_folder(spark)
 
 
-def test_a_rewrite_that_breaks_off_is_finished(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("method", ["stage", "commit", "replace_batch"])
+def test_a_load_that_breaks_off_leaves_the_fact_whole_and_is_finished_by_its_repeat(spark, tmp_path, monkeypatch, method):
     wh, landing = warehouse(spark, tmp_path), str(tmp_path / "landing")
     drop(tmp_path, "C101", "2026-09-26", [("2026-09-26", "A", 1), ("2026-09-19", "A", 1)])
     load_folder(wh, landing, stamp="T1", **RUN)
+    before = rows(wh.read("fact_sales"))
     drop(tmp_path, "C102", "2026-09-26", [("2026-09-26", "A", 2), ("2026-09-19", "B", 3)])
-    whole = Warehouse.replace
+    whole = getattr(Warehouse, method)
 
-    def breaks(self, table, new):
-        if table == "fact_sales":       # one week replaced by nothing, the other not touched
-            shutil.rmtree(f"{self.path(table)}/week_date=2026-09-26")
+    def breaks(self, table, *args):
+        if table in ("fact_sales", "loaded_files"):
+            if method == "stage":                             # a part of the new weeks is written
+                whole(self, table, args[0].filter("week_date = '2026-09-19'"))
             raise OSError("gone")
-        whole(self, table, new)
+        return whole(self, table, *args)
 
-    monkeypatch.setattr(Warehouse, "replace", breaks)
+    monkeypatch.setattr(Warehouse, method, breaks)
     with pytest.raises(OSError):
         load_folder(wh, landing, stamp="T2", **RUN)
     monkeypatch.undo()
-    assert wh.read("fact_sales").count() == 1
+    assert method == "replace_batch" or rows(wh.read("fact_sales")) == before
     again = load_folder(wh, landing, stamp="T2", **RUN)
-    assert [(r.load_id, r.passed) for r in again] == [("C102_R201_T2", True)]
+    assert [(r.load_id, r.passed, r.fact_inserted, r.fact_updated) for r in again] == [("C102_R201_T2", True, 2, 0)]
+    assert rows(wh.read("fact_sales"), "client_id", "week_date", "sales", "file_week") == [
+        ("C101", d("2026-09-19"), money(1), d("2026-09-26")), ("C101", d("2026-09-26"), money(1), d("2026-09-26")),
+        ("C102", d("2026-09-19"), money(3), d("2026-09-26")), ("C102", d("2026-09-26"), money(2), d("2026-09-26"))]
+    assert load_folder(wh, landing, stamp="T3", **RUN) == []
+    table = wh.versions("fact_sales")
+    assert table.current().version == 2 and table.expire(keep=1) == 1 + (method != "replace_batch") and wh.read("fact_sales").count() == 4
+
+
+def test_an_index_of_versions_has_one_writer(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_partitions=("week_date", "client_id"))
+    fact = local_rows(spark, [(d("2026-09-26"), c, "R 1", "P1", money(1), 1, "L", None, None, None) for c in ("C/1", "C 2")], S.FACT_STORED)
+    wh.replace("fact_sales", fact)
+    wh.replace("fact_sales", fact.filter("client_id = 'C/1'").withColumn("inventory", fact.inventory + 1))
+    assert rows(wh.read("fact_sales"), "client_id", "inventory") == [("C 2", 1), ("C/1", 2)]
+    table = wh.versions("fact_sales")
+    old = table.current()
+    wh.replace("fact_sales", fact)
+    table.current = lambda: old
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.commit(wh.stage("fact_sales", fact), 2)
+    assert wh.committed("fact_sales", "never", "") is None
+
+
+def test_files_sent_again_are_loaded_and_archived_parts_come_along(spark, tmp_path):
+    wh, landing, archive = warehouse(spark, tmp_path), str(tmp_path / "landing"), str(tmp_path / "old files")
+    parts(tmp_path, 2)
+    load_folder(wh, landing, stamp="T1", **RUN)
+    put(tmp_path / "landing/C101/R201", "R201_C101_20260926_part1.csv", HEAD + "2026-09-26,A,200,1\n")
+    assert waiting_files(wh, landing).count() == 1
+    load_folder(wh, landing, stamp="T2", archive_folder=archive, **RUN)
+    assert rows(wh.read("fact_sales"), "sales") == [(money(210),)] and waiting_files(wh, landing).count() == 0
+    assert len(list((tmp_path / "old files").rglob("*.csv"))) == 2 and not list((tmp_path / "landing").rglob("*.csv"))
+    parts(tmp_path, 3, 2)                                                          # a late part
+    load_folder(wh, landing, stamp="T3", archive_folder=archive, **RUN)
+    assert rows(wh.read("fact_sales"), "sales") == [(money(220),)]
+    parts(tmp_path, 1)                                                             # the first part again, as it was
+    put(tmp_path / "landing/C101/R201", "R201_C101_20260926_part0.csv", HEAD + "2026-09-26,A,1,1\n")
+    load_folder(wh, landing, stamp="T4", archive_folder=archive, **RUN)
+    assert rows(wh.read("fact_sales"), "sales") == [(money(211),)]
+
+
+def test_drops_in_any_order(spark, tmp_path):
+    weeks = {"2026-09-12": [("2026-09-05", "A", 1), ("2026-09-12", "A", 1), ("2026-09-12", "B", 1)],
+             "2026-09-19": [("2026-09-12", "A", 2), ("2026-09-19", "A", 2)], "2026-09-26": [("2026-09-19", "A", 3), ("2026-09-26", "B", 3)]}
+    found = []
+    for turn, order in enumerate((sorted(weeks), sorted(weeks, reverse=True), ["2026-09-19", "2026-09-26", "2026-09-12"])):
+        wh = warehouse(spark, tmp_path / str(turn), order_guard=True)
+        for n, week in enumerate(order):
+            drop(tmp_path / str(turn), "C101", week, weeks[week])
+            load_folder(wh, str(tmp_path / str(turn) / "landing"), stamp=f"T{n}", run_date=date(2026, 10, 1), start_week=date(2026, 8, 1), end_week=date(2026, 9, 26))
+        found.append(rows(wh.read("fact_sales"), "week_date", "product_id", "sales", "file_week"))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 5
+
+
+def test_stream_hands_out_its_backlog_in_turns(spark, tmp_path):
+    wh, landing = warehouse(spark, tmp_path), str(tmp_path / "landing")
+    for week in ("2026-09-12", "2026-09-19", "2026-09-26"):
+        drop(tmp_path, "C101", week, [("2026-09-12", "A", int(week[-2:]))])
+    drop(tmp_path, "C102", "2026-09-26", [("2026-09-26", "A", 1)])
+    ingest(wh, landing, str(tmp_path / "cp"), max_drops=2, **RUN).awaitTermination()
+    assert rows(wh.read("backlog"), "file_week", "turn") == [(d("2026-09-12"), 0), (d("2026-09-19"), 0), (d("2026-09-26"), 0), (d("2026-09-26"), 1)]
+    assert rows(wh.read("fact_sales"), "client_id", "sales") == [("C101", money(26)), ("C102", money(1))]
+    assert rows(wh.read("load_files"), "load_id")[-1] == ("C102_R201_stream00000000",) and wh.read("load_files").count() == 4
+    put(tmp_path / "landing/C102/R201", "R201_C102_20260926.csv", HEAD + "2026-09-26,A,1000,1\n")     # again, under its name
+    put(tmp_path / "landing/C101/R201", "R201_C101_20260926_part2.csv", HEAD + "2026-09-26,A,5,1\n")
+    ingest(wh, landing, str(tmp_path / "cp"), max_drops=2, **RUN).awaitTermination()
     assert rows(wh.read("fact_sales"), "client_id", "week_date", "sales") == [
-        ("C101", d("2026-09-19"), money(1)), ("C101", d("2026-09-26"), money(1)), ("C102", d("2026-09-19"), money(3)), ("C102", d("2026-09-26"), money(2))]
-    assert wh.read("fact_next").count() == 0
+        ("C101", d("2026-09-12"), money(26)), ("C101", d("2026-09-26"), money(5)), ("C102", d("2026-09-26"), money(1000))]

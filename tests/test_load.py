@@ -45,7 +45,7 @@ def test_batch_of_feeds_with_one_bad_load_then_restatement(spark, tmp_path):
     assert wh.read("load_files").count() == 2
 
     again = load_folder(wh, landing, stamp="T1", run_date=date(2026, 10, 1))[0]       # replay: same load, nothing new
-    assert (again.fact_inserted, again.fact_updated) == (0, 2)
+    assert (again.fact_inserted, again.fact_updated) == (2, 0) and wh.read("fact_sales").filter("updated_at > inserted_at").isEmpty()
     with pytest.raises(ValueError, match="after the window end"):
         load_folder(wh, landing, stamp="T2", run_date=date(2026, 10, 1), strict=True)
     assert load_folder(wh, landing, stamp="T3", run_date=date(2026, 10, 1), pipeline_id="none") == []

@@ -29,8 +29,10 @@ def test_pending_files_in_order(spark, tmp_path):
     assert found == [names[1], names[3], names[2], names[0]]
     assert sources.unrecognised_files(listed).count() == 2
     assert rows(sources.cap_drops(matched, 2), "file_week") == [(d("2026-09-12"),), (d("2026-09-19"),), (d("2026-09-19"),)]
-    loaded = matched.filter("file_week = '2026-09-12' or source_file like '%part1.csv'").select("source_file")
+    loaded = matched.filter("file_week = '2026-09-12' or source_file like '%part1.csv'").select("source_file", "length", "modified")
     assert rows(sources.whole_drops(matched, loaded), "file_week") == [(d("2026-09-19"),), (d("2026-09-19"),), (d("2026-09-26"),)]
+    longer = loaded.withColumn("length", F.col("length") + 1)       # sent again since
+    assert sources.whole_drops(matched, longer).count() == 4
     spark_drop = with_file_week(spark.createDataFrame([("file:/x/R_C_20260926.json/part-0001-a.txt",)], "source_file string")).first()
     assert (spark_drop.file_week, spark_drop.file_format) == (d("2026-09-26"), "json")
 
