@@ -15,18 +15,28 @@ from sellthrough.session import work_folder
 LEAST_SCORE = 0.5
 
 
+def _given(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with their own columns of these names under other ones while an operator adds its own, and the way back."""
+    other = {c: f"{c}_given" for c in names if c in docs.columns}
+    while set(other.values()) & set(docs.columns):
+        other = {c: f"{new}_" for c, new in other.items()}
+    return docs.withColumnsRenamed(other), {new: c for c, new in other.items()}
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; texts without letters, null texts and undecided ones go."""
-    found = identify(docs, train(docs))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    rows, back = _given(docs, "lang_pred", "score")
+    found = identify(rows, train(docs))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*rows.columns).withColumnsRenamed(back)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without lines that recur across documents; n_chars follows the text."""
-    found = drop_recurring_lines(docs)
+    rows, back = _given(docs, "n_lines", "n_dropped")
+    found = drop_recurring_lines(rows)
     changed = F.col("n_dropped") > 0
-    return found.select(*[F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
-                          for c in docs.columns])
+    return found.select(*[F.when(changed, F.length("text")).otherwise(F.col(c)).cast(rows.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
+                          for c in rows.columns]).withColumnsRenamed(back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +56,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the number of their copies and the words that these take."""
     docs = docs.drop("copies", "taken")
     found = mix(docs, quality=quality_weights(spark, sf_dir)).filter("copies > 0")
-    found = found.select(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), "copies", "taken").dropDuplicates(["mix_id", "mix_hash"])
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("mix_id")) & (F.xxhash64(docs["text"]) == F.col("mix_hash"))).drop("mix_id", "mix_hash")
+    found = found.select("doc_id", "text_hash", "copies", "taken").dropDuplicates(["doc_id", "text_hash"]).alias("m")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("k"), F.xxhash64("text").alias("t")).alias("d")
+    rows = rows.join(found, F.col("d.k").eqNullSafe(F.col("m.doc_id")) & (F.col("d.t") == F.col("m.text_hash")))
+    return rows.select("row.*", "m.copies", "m.taken")
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
