@@ -136,5 +136,7 @@ def _occurrences(documents: DataFrame, found: DataFrame, windows: DataFrame, bou
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, p: Decontamination = Decontamination()) -> DataFrame:
     """The documents that are not contaminated, as they came. A null doc_id is a value like any other."""
-    bad = contamination(documents, benchmark, p).filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_t")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_t")), "left_anti")
+    bad = contamination(documents, benchmark, p).filter("contaminated").select("doc_id", "t").distinct()
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("k"), F.xxhash64("text").alias("t")).alias("d")
+    on = F.col("d.k").eqNullSafe(F.col("b.doc_id")) & (F.col("d.t") == F.col("b.t"))
+    return rows.join(bad.alias("b"), on, "left_anti").select("row.*")
