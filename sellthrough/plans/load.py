@@ -17,6 +17,7 @@ from sellthrough import schemas as S
 from sellthrough.functions import file_label
 from sellthrough.operators.audit import audit_event, error_text, stats_json
 from sellthrough.operators.classify import annotate
+from sellthrough.operators.coverage import new_products, week_sums
 from sellthrough.operators.joins import join_bounded
 from sellthrough.operators.mapping import map_products, rollup, unmapped_keys
 from sellthrough.operators.summary import keep_files, summarise
@@ -201,6 +202,7 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
     fact, with the batch's id and counters. A batch that is in the fact already is answered from its commit."""
     done = wh.committed("fact_sales", batch.batch_id, batch.fingerprint)
     if done is not None:
+        keep_coverage(wh, batch)
         return {load_id: tuple(counts) for load_id, counts in done.counters.items()}
     scope = (totals.filter("source = 'stg'").join(loads.select("load_id"), "load_id", "left_semi")
              .select(*wh.fact_partitions).distinct())
@@ -215,9 +217,22 @@ def upsert_fact(wh: Warehouse, staging: DataFrame, loads: DataFrame, totals: Dat
     counts = written_counters(wh.staged("fact_sales", version), loaded_at).collect()
     counters = {r.load_id: (r.fact_inserted, r.fact_updated) for r in counts}
     wh.commit("fact_sales", version, batch.batch_id, batch.fingerprint, {k: list(v) for k, v in counters.items()})
+    keep_coverage(wh, batch)
     return counters
 
 
+def keep_coverage(wh: Warehouse, batch: Batch) -> None:
+    """Bring the week sums of the weeks that a batch has changed, and the products that it has added, up to the fact. Done once a batch."""
+    change = wh.committed("fact_sales", batch.batch_id, batch.fingerprint)
+    if wh.committed("fact_weeks", batch.batch_id, batch.fingerprint) is not None:
+        return
+    weeks = [date.fromisoformat(w) for w in wh.versions("fact_sales").changed(change, "week_date")]
+    rows = wh.read("fact_sales").filter(F.col("week_date").isin(weeks))
+    known = wh.read("fact_products").filter(F.col("batch_id") != batch.batch_id)
+    wh.replace_batch("fact_products", new_products(rows, known), batch.batch_id)
+    wh.commit("fact_weeks", wh.stage("fact_weeks", week_sums(rows)), batch.batch_id, batch.fingerprint)
+
+
 def load_folder(warehouse: Warehouse, folder: str, *, stamp: str, run_date: date, start_week: date | None = None,
                 end_week: date | None = None, environment: str = "dev", pipeline_id: str | None = None,
                 strict: bool = False, again: bool = False, max_drops: int = S.MAX_DROPS_PER_LOAD,

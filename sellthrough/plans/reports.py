@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from sellthrough.plans import views
 from sellthrough.plans.views import Tables
 from sellthrough.schemas import MAX_KNOWN_VALUES, MAX_RESULT_ROWS, MONEY
+from sellthrough.session import materialise
 
 KNOWN_VALUE_COLUMNS = {
     "sales_by_week": ("brand", "retailer", "category"),
@@ -48,7 +49,7 @@ def _sales(rows: DataFrame, *keys: str) -> DataFrame:
 def recent(t: Tables, weeks: int) -> Tables:
     """The tables with the fact cut to its newest weeks. The newest week is one value, asked for first: as plain dates the
     weeks prune the fact's partitions below the joins, which a comparison with `weeks_ago` above them cannot."""
-    newest = views.latest_week(t.fact).first().latest_week
+    newest = views.latest_week(t.fact if t.weeks is None else t.weeks).first().latest_week
     wanted = [newest - timedelta(weeks=i) for i in range(weeks)] if newest else []
     return replace(t, fact=t.fact.filter(F.col("week_date").isin(wanted)))
 
@@ -117,7 +118,11 @@ def known_values(rows: DataFrame, columns: tuple[str, ...], limit: int = MAX_KNO
 
 
 def all_known_values(t: Tables) -> DataFrame:
-    """Known values of every curated view, with the view's name."""
-    parts = [known_values(views.VIEWS[name](t), columns).select(F.lit(name).alias("view_name"), "column_name", "value")
-             for name, columns in KNOWN_VALUE_COLUMNS.items() if name != "data_freshness" or t.audit is not None]
+    """Known values of every curated view, with the view's name. The views over sales share one read of what was sold."""
+    sold = materialise(views.sold_combinations(t), "sold")
+    rows = {"sales_by_week": sold, "chat_weekly_sales": sold, "calendar": views.calendar(t)}
+    if t.audit is not None:
+        rows["data_freshness"] = views.data_freshness(t)
+    parts = [known_values(rows[name], columns).select(F.lit(name).alias("view_name"), "column_name", "value")
+             for name, columns in KNOWN_VALUE_COLUMNS.items() if name in rows]
     return reduce(DataFrame.unionByName, parts)

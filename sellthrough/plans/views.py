@@ -4,11 +4,12 @@ All are lazy DataFrames. Dimension joins carry no hint: the planner broadcasts a
 explicit broadcast is the newest week, one row by construction."""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sellthrough.functions import month_name, week_starting, weeks_ago
+from sellthrough.operators.coverage import known_sums
 from sellthrough.schemas import MONEY
 
 
@@ -22,10 +23,18 @@ class Tables:
     config: DataFrame | None = None
     audit: DataFrame | None = None      # one row per load (operators.audit.current_audit)
     totals: DataFrame | None = None
+    weeks: DataFrame | None = None      # operators.coverage.week_sums of the fact, kept up by the load
+    products_sold: DataFrame | None = None      # operators.coverage.pair_products of it
 
 
-def latest_week(fact: DataFrame) -> DataFrame:
-    return fact.agg(F.max("week_date").alias("latest_week"))
+def latest_week(weeks: DataFrame) -> DataFrame:
+    """The newest week of a fact, or of its week sums."""
+    return weeks.agg(F.max("week_date").alias("latest_week"))
+
+
+def _weeks(t: Tables) -> DataFrame:
+    """Rows with the fact's weeks and pairs, as few as there are."""
+    return t.fact if t.weeks is None else t.weeks
 
 
 def _star(t: Tables) -> DataFrame:
@@ -36,6 +45,11 @@ def _star(t: Tables) -> DataFrame:
             .join(product, "product_id"))
 
 
+def _named(t: Tables, rows: DataFrame) -> DataFrame:
+    """Rows of pairs with their names."""
+    return rows.join(t.client.select("client_id", "client_name"), "client_id").join(t.retailer.select("retailer_id", "retailer_name"), "retailer_id")
+
+
 def weekly_sales(t: Tables) -> DataFrame:
     return _star(t).select(
         "week_date", "client_id", "client_name", "retailer_id", "retailer_name", "product_id", "product_grain", "style",
@@ -44,7 +58,7 @@ def weekly_sales(t: Tables) -> DataFrame:
 
 def chat_weekly_sales(t: Tables) -> DataFrame:
     """Product detail: one row per week, brand, retailer and product."""
-    return _star(t).crossJoin(F.broadcast(latest_week(t.fact))).select(
+    return _star(t).crossJoin(F.broadcast(latest_week(_weeks(t)))).select(
         F.col("week_date").alias("week_ending"), weeks_ago(F.col("week_date"), F.col("latest_week")).alias("weeks_ago"),
         F.col("client_name").alias("brand"), F.col("retailer_name").alias("retailer"), "category", "product_id",
         "product_name", "product_grain", "style", "color", "size", F.col("sales").alias("sales_usd"),
@@ -67,9 +81,9 @@ def sales_by_week(t: Tables) -> DataFrame:
 
 
 def calendar(t: Tables) -> DataFrame:
-    weeks = t.fact.select(F.col("week_date").alias("week_ending")).distinct()
+    weeks = _weeks(t).select(F.col("week_date").alias("week_ending")).distinct()
     week = F.col("week_ending")
-    # The newest week is the newest of the distinct weeks: the fact is read once.
+    # The newest week is the newest of the distinct weeks: they are read once.
     return weeks.crossJoin(F.broadcast(weeks.agg(F.max("week_ending").alias("latest_week")))).select(
         "week_ending", week_starting(week).alias("week_starting"), F.year(week).alias("year"),
         F.quarter(week).alias("quarter"), F.month(week).alias("month"), month_name(week).alias("month_name"),
@@ -79,7 +93,7 @@ def calendar(t: Tables) -> DataFrame:
 def data_freshness(t: Tables) -> DataFrame:
     """Loaded weeks per brand and retailer, and when a load last succeeded. Fact and audit are each reduced to pairs
     before they meet; distinct weeks are deduplicated on the map side."""
-    loaded = t.fact.select("client_id", "retailer_id", "week_date").distinct()
+    loaded = _weeks(t).select("client_id", "retailer_id", "week_date").distinct()
     done = t.audit.filter("status = 'SUCCESS'").groupBy("pipeline_id").agg(F.max("finished_at").alias("finished_at"))
     last = (t.config.select("client_id", "retailer_id", "pipeline_id").join(done, "pipeline_id")
             .groupBy("client_id", "retailer_id").agg(F.max("finished_at").alias("finished_at")))
@@ -93,13 +107,18 @@ def data_freshness(t: Tables) -> DataFrame:
 
 def fact_coverage(t: Tables) -> DataFrame:
     """Weeks, products and sales per pair. The distinct counts run over (pair, week) and (pair, product) lines that are
-    already unique, so no single task sees a pair's rows."""
-    rows = weekly_sales(t)
+    already unique, so no single task sees a pair's rows. With week sums and products of pairs the fact itself isn't read, but for
+    products that have left the dimension."""
     pair = ["client_name", "retailer_name"]
+    if t.weeks is not None and t.products_sold is not None:
+        rows = _named(t, known_sums(t.weeks, t.products_sold, t.product, t.fact))
+        products = _named(t, t.products_sold.join(t.product.select("product_id"), "product_id", "left_semi"))
+    else:
+        rows = products = weekly_sales(t)
     weeks = rows.groupBy(*pair, "week_date").agg(F.sum("sales").alias("sales")).groupBy(*pair).agg(
         F.min("week_date").alias("first_week"), F.max("week_date").alias("last_week"), F.count("*").alias("weeks"),
         F.sum("sales").cast(MONEY).alias("sales"))
-    products = rows.select(*pair, "product_id").distinct().groupBy(*pair).agg(F.count("*").alias("products"))
+    products = products.select(*pair, "product_id").distinct().groupBy(*pair).agg(F.count("*").alias("products"))
     return weeks.join(products, pair).select(*pair, "first_week", "last_week", "weeks", "products", "sales")
 
 
@@ -107,6 +126,12 @@ VIEWS = {"weekly_sales": weekly_sales, "chat_weekly_sales": chat_weekly_sales, "
          "calendar": calendar, "data_freshness": data_freshness}
 
 
+def sold_combinations(t: Tables) -> DataFrame:
+    """(brand, retailer, category, color, size) that the curated views show: distinct, from the products of pairs if they are kept, else from the fact."""
+    rows = _star(t if t.products_sold is None else replace(t, fact=t.products_sold))
+    return rows.select(F.col("client_name").alias("brand"), F.col("retailer_name").alias("retailer"), "category", "color", "size").distinct()
+
+
 def register_views(spark: SparkSession, t: Tables) -> list[str]:
     """Make the views available to `spark.sql`."""
     from sellthrough.operators.audit import load_health

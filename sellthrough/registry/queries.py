@@ -396,7 +396,7 @@ def fact_coverage(spark, sf):
 
 @query
 def latest_week(spark, sf):
-    return views.latest_week(stored.stored_fact(spark, sf))
+    return views.latest_week(stored.week_table(spark, sf))
 
 
 @query
@@ -677,6 +677,17 @@ def replayed_batch(spark, sf):
     return _fact_of(wh)
 
 
+@query
+def kept_coverage(spark, sf):
+    """Coverage of all pairs after two loads, from the sums and products that the loads keep."""
+    wh, folder, newest = _warehouse(spark, sf), work_folder(spark, "landing"), base.newest_week(spark, sf)
+    for n, drop in enumerate(_two_drops(spark, sf)):
+        stored.write_feed_files(drop.withColumn("file_week", F.date_sub(newest, 7 - 7 * n)), folder, base.pair_count(spark, sf))
+        load_folder(wh, folder, stamp=f"turn{n}", **ALL_WEEKS)
+    t = Tables(wh.read("fact_sales"), wh.read("client"), wh.read("retailer"), wh.read("product"), weeks=wh.read("fact_weeks"), products_sold=wh.read("fact_products"))
+    return views.fact_coverage(t)
+
+
 @query
 def redelivered_files(spark, sf):
     """A drop that is sent again under its name, with other rows, after the first one was loaded and moved to the archive."""
@@ -712,6 +723,22 @@ def stream_capped(spark, sf):
     return _fact_of(wh).drop("is_restated")
 
 
+@query
+def stream_window_policy(spark, sf):
+    """Two drops through the stream, in the feeds' own windows: what each batch's loads did with rows before the window, and with feeds whose
+    first drop holds a week after its own."""
+    wh, folder, checkpoint = _warehouse(spark, sf), work_folder(spark, "landing"), work_folder(spark, "stream")
+    newest, first_drop = base.newest_week(spark, sf), _two_drops(spark, sf)[0]
+    early = base.client_no(F.col("client_id")) % 7 == 3
+    named = (first_drop.withColumn("file_week", F.when(early, F.date_sub(newest, 14)).otherwise(F.date_sub(newest, 7))),
+             _two_drops(spark, sf)[1].withColumn("file_week", newest))
+    for drop in named:
+        stored.write_feed_files(drop, folder, base.pair_count(spark, sf))
+        ingest(wh, folder, checkpoint, run_date=date(2026, 1, 1)).awaitTermination()
+    counts = wh.read("load_files").groupBy("load_id").agg(*[F.sum(c).alias(c) for c in ("raw_rows", "parsed_rows", "out_of_window")])
+    return counts.join(A.current_audit(wh.read("load_audit")).select("load_id", "status"), "load_id")
+
+
 @query
 def load_with_bad_feeds(spark, sf):
     """One batch in which every seventh brand's drops are dated on a Thursday and the next one's have sums that don't fit: how

@@ -117,3 +117,5 @@ FACT_SALES = table_schema("""week_date date, client_id string, retailer_id strin
     inventory bigint, load_id string, inserted_at timestamp, updated_at timestamp""")
 # As stored: with the week of the drop that a row comes from.
 FACT_STORED = T.StructType([*FACT_SALES.fields, T.StructField("file_week", T.DateType())])
+FACT_WEEKS = table_schema("week_date date, client_id string, retailer_id string, rows bigint, sales decimal(18,2), inventory bigint")
+FACT_PRODUCTS = table_schema("client_id string, retailer_id string, product_id string")

@@ -40,8 +40,9 @@ TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "unmapped": (_batched(S.UNMAPPED), ("batch_id",)), "load_audit": (S.LOAD_AUDIT_EVENT, ()),
     "backlog": (_batched(S.BACKLOG), ("batch_id",)),
     "fact_sales": (S.FACT_STORED, ("week_date",)),
+    "fact_weeks": (S.FACT_WEEKS, ("week_date",)), "fact_products": (_batched(S.FACT_PRODUCTS), ("batch_id",)),
 }
-VERSIONED = ("fact_sales",)
+VERSIONED = ("fact_sales", "fact_weeks")
 # Sorting inside files lets the Parquet reader skip row groups.
 SORTED_BY = {"fact_sales": ("week_date", "client_id", "retailer_id", "product_id")}
 

@@ -20,6 +20,7 @@ from sellthrough.operators.joins import join_bounded
 from sellthrough.session import materialise
 from sellthrough.sources.files import reader_path
 from sellthrough.sources.layout import ambiguous, column_positions, empty_feed, from_cells
+from sellthrough.sources.states import with_state
 
 # Wider files are taken apart line by line, as the reader by position has a column for each cell of the widest one.
 MAX_COLUMNS = 1000
@@ -92,17 +93,6 @@ def csv_shapes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("source_file").agg((F.max(commas) + 1).alias("widest"), F.max(_ends_inside(F.col("value"), False)).alias("has_breaks"))
 
 
-def _with_state(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """rows in order, each either setting a state (to_state 0 or 1) or flipping it (flips 1) or leaving it (flips 0), with the state before
-    each: `fixed` if an earlier row has set it, else `turned` times flipped from the start's."""
-    upto = Window.partitionBy(*keys).orderBy(order)
-    before = upto.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("all_flips", F.sum("flips").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    last = F.last(F.when(F.col("to_state").isNotNull(), F.struct("to_state", "all_flips")), True).over(before)
-    rows = rows.withColumn("last", last).withColumn("turned", F.coalesce(F.sum("flips").over(before), F.lit(0)))
-    return rows.withColumn("fixed", (F.col("last.to_state") + F.col("turned") - F.col("last.all_flips")) % 2).drop("last")
-
-
 def stitched_records(lines: DataFrame) -> DataFrame:
     """(source_file, record_no, record, problem): the records of files whose quoted cells go on over lines; the header is record 1.
 
@@ -114,13 +104,13 @@ def stitched_records(lines: DataFrame) -> DataFrame:
     rows = lines.select("*", outside.alias("o"), inside.alias("i"))
     rows = rows.withColumn("to_state", F.when(F.col("o") == F.col("i"), F.col("o"))).withColumn(
         "flips", F.when((F.col("o") == 1) & (F.col("i") == 0), 1).otherwise(0)).drop("o", "i")
-    rows = materialise(_with_state(rows, ["source_file", "split"], "line_no"), "csv-lines")
+    rows = materialise(with_state(rows, ["source_file", "split"], "line_no"), "csv-lines")
 
     splits = rows.groupBy("source_file", "split").agg(F.sum("flips").alias("n"), F.max_by(F.struct("to_state", "all_flips"), F.when(
         F.col("to_state").isNotNull(), F.col("line_no"))).alias("last"))
     set_to = (F.col("last.to_state") + F.col("n") - F.col("last.all_flips")) % 2
     splits = splits.select("source_file", "split", set_to.alias("to_state"), F.when(F.col("last").isNull(), F.col("n") % 2).otherwise(0).alias("flips"))
-    splits = _with_state(splits, ["source_file"], "split").withColumn("start", F.coalesce("fixed", F.col("turned") % 2))
+    splits = with_state(splits, ["source_file"], "split").withColumn("start", F.coalesce("fixed", F.col("turned") % 2))
     splits = splits.select("source_file", "split", "start", F.coalesce("to_state", (F.col("start") + F.col("flips")) % 2).alias("end"))
     splits = materialise(splits, "csv-splits")
     ends = splits.groupBy("source_file").agg(F.max_by("end", "split").alias("end"))

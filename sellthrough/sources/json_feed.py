@@ -1,12 +1,21 @@
-"""JSON feeds (one array of flat records per file) and landed API pages ({"data": [...], "next_cursor", "total"})."""
+"""JSON feeds (one array of records per file) and landed API pages ({"data": [...], "next_cursor", "total"}).
+
+An array is read by as many tasks as its file has splits. The reader cuts text at every closing brace, which ends most records; whether a brace
+ends one depends on what stands before it: an open string, or an outer object. Both are sums over all text before (of quotes and of braces outside
+strings), so they are added up within each split and then over the splits of a file, see `array_records`. Pages are small and are read whole."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sellthrough.functions.text import standard_name
+from sellthrough.operators.joins import join_bounded
 from sellthrough.schemas import FEED_COLUMNS
 from sellthrough.session import materialise
+from sellthrough.sources.files import reader_path
 from sellthrough.sources.layout import ambiguous, empty_feed, from_records
+from sellthrough.sources.states import counted_before
 
 NO_RECORDS = "the document is no JSON array of records and no page of them"
 # A drop's path without its part: what its pages have in common.
@@ -16,7 +25,6 @@ PAGE = "struct<data:array<map<string,string>>,next_cursor:bigint,total:bigint>"
 
 
 def _whole_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # A JSON array cannot be split, so a file is one task's work whichever reader is used.
     return (spark.read.text(paths, wholetext=True)
             .select(F.col("_metadata.file_path").alias("source_file"), "value"))
 
@@ -38,6 +46,86 @@ def _explode_records(rows: DataFrame) -> DataFrame:
         "source_file", "own", "layout_error", F.explode(listed).alias("record")))
 
 
+# A string, and one that is open at the end. Possessive, as each has one reading only.
+_IN_STRING = r'(?:[^"\\]++|\\.)*+'
+_STRINGS = rf'(?s)"{_IN_STRING}(?:"|$)'
+
+
+def json_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source_file, split, chunk_no, value): the text between closing braces, numbered in order within each split of its file."""
+    return spark.read.option("lineSep", "}").text(paths).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("chunk_no"), "value")
+
+
+def first_characters(spark: SparkSession, chunks: DataFrame) -> DataFrame:
+    """(source_file, begins): the first character of each file that is no white space; none for a blank one."""
+    heads = chunks.filter("split = 0").groupBy("source_file").agg(F.min("chunk_no").alias("chunk_no"))
+    first = F.substring(F.ltrim(F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")), 1, 1)
+    return chunks.join(F.broadcast(heads), ["source_file", "chunk_no"]).select("source_file", first.alias("begins"))
+
+
+def array_records(chunks: DataFrame) -> DataFrame:
+    """(source_file, record map<string,string>, problem) of files that hold an array of records. A file that isn't one makes a row with a problem
+    for every place at which it fails."""
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    rows = chunks.withColumn("flips", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2)
+    keys = ["source_file", "split"]
+
+    def over_splits(rows: DataFrame, sums: dict[str, str], name: str) -> DataFrame:
+        """Sums over everything before in the file: those of the split, and those of the splits before."""
+        inner = materialise(counted_before(rows, sums, keys, "chunk_no"), name)
+        splits = inner.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+        splits = materialise(counted_before(splits, {c: f"{c}_earlier" for c in sums}, ["source_file"], "split").drop(*sums), f"{name}-splits")
+        joined = join_bounded(inner, splits, keys, "inner", splits.count())
+        return joined.withColumns({v: F.col(v) + F.col(f"{c}_earlier") for c, v in sums.items()}).drop(*[f"{c}_earlier" for c in sums])
+
+    rows = over_splits(rows, {"flips": "quotes"}, "json-quotes")
+    inside = F.col("quotes") % 2 == 1
+    text = F.when(inside, F.regexp_replace("value", rf'(?s)^{_IN_STRING}(?:"|$)', "")).otherwise(F.col("value"))
+    outside = F.regexp_replace(text, _STRINGS, "")
+    # The last chunk of a file is what follows its last brace; it ends with none.
+    ends = materialise(rows.groupBy("source_file").agg(F.max(F.struct("split", "chunk_no")).alias("end")), "json-ends")
+    rows = join_bounded(rows.withColumn("outside", outside), ends, "source_file", "inner", ends.count())
+    rows = rows.withColumn("last", F.struct("split", "chunk_no") == F.col("end")).drop("end")
+    closes = F.when(F.col("last") | ((F.col("quotes") + F.col("flips")) % 2 == 1), 0).otherwise(1)
+    rows = rows.withColumn("closes", closes).withColumn("step", F.length("outside") - F.length(F.replace("outside", F.lit("{"), F.lit(""))) - F.col("closes"))
+    rows = over_splits(rows.drop("flips", "quotes"), {"step": "depth"}, "json-depth")
+    rows = rows.withColumn("ends", ((F.col("closes") == 1) & (F.col("depth") + F.col("step") == 0)).cast("int"))
+    rows = over_splits(rows, {"ends": "record_no"}, "json-records")
+    alone = (F.col("ends") == 1) & (F.col("depth") == 0)
+    part = F.struct("split", "chunk_no", "value")
+    text_of = F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda x: x.value), "}")
+    several = rows.filter(~alone).groupBy("source_file", "record_no").agg(text_of.alias("value"), F.max("ends").alias("ends"))
+    records = rows.filter(alone).select("source_file", "record_no", "value", "ends").unionByName(several)
+    # A record follows the array's bracket or a comma; after the last one only the closing bracket is left.
+    before = F.when(F.col("record_no") == 0, F.lit(r"(?s)^[\s\x{FEFF}]*\[\s*")).otherwise(F.lit(r"(?s)^\s*,\s*"))
+    end = F.when(F.col("record_no") == 0, F.lit(r"(?s)^[\s\x{FEFF}]*\[\s*\]\s*$")).otherwise(F.lit(r"(?s)^\s*\]\s*$"))
+    record = F.from_json(F.concat(F.regexp_replace(F.col("value"), before, F.lit("")), F.lit("}")), "map<string,string>")
+    rows = records.withColumn("record", F.when(F.col("ends") == 1, F.when(F.regexp_like("value", F.concat(before, F.lit(r"\{.*"))), record)))
+    fits = F.when(F.col("ends") == 1, F.col("record").isNotNull()).otherwise(F.regexp_like("value", end))
+    rows = rows.withColumn("problem", F.when(~F.coalesce(fits, F.lit(False)), F.lit(NO_RECORDS)))
+    return rows.filter("ends = 1 or problem is not null").select("source_file", "record", "problem")
+
+
+def _split_arrays(spark: SparkSession, chunks: DataFrame) -> DataFrame:
+    """Raw feed rows of array files. The headers of a file are settled once, from the distinct ones of its records."""
+    rows = materialise(array_records(chunks), "json-array")
+    names = rows.select("source_file", F.explode(F.map_keys("record")).alias("header")).distinct()
+    headers = names.groupBy("source_file").agg(F.sort_array(F.collect_list("header")).alias("headers"))
+    files = materialise(headers.withColumn("names", F.transform("headers", lambda h: standard_name(h))), "json-headers")
+    at = [F.array_position("names", F.lit(c)).cast("int") for c in FEED_COLUMNS]
+    own = F.array(*[F.when(p > 0, F.get("headers", p - 1)) for p in at])
+    files = files.select("source_file", own.alias("own"), ambiguous(F.col("names")).alias("ambiguous"))
+    broken = rows.filter("problem is not null").select("source_file", "problem").distinct()
+    files = materialise(files.join(broken, "source_file", "full_outer").select("source_file", "own", F.coalesce("problem", "ambiguous").alias("layout_error")), "json-files")
+    # A faulty document makes one row without a record, which carries the fault, beside the rows that could be read.
+    found = join_bounded(rows.filter("problem is null").select("source_file", "record"), files, "source_file", "inner", files.count())
+    faults = files.filter("layout_error is not null").select("source_file", F.lit(None).cast("map<string,string>").alias("record"), "own", "layout_error")
+    faults = faults.join(rows.filter("problem is null").select("source_file").distinct(), "source_file", "left_anti")
+    return from_records(found.unionByName(faults))
+
+
 def json_records(rows: DataFrame) -> DataFrame:
     """(source_file, value) with one JSON document per row to raw feed rows. A document is an array of records, or an API
     page landed as it came."""
@@ -53,6 +141,16 @@ def read_json_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Raw feed rows of all documents. API pages of a drop whose records are not all there are a fault of that drop."""
     if not paths:
         return empty_feed(spark)
+    begins = {r.source_file: r.begins for r in first_characters(spark, json_chunks(spark, paths)).collect()}
+    arrays = sorted({reader_path(f) for f, c in begins.items() if c == "["})
+    others = [p for p in paths if p not in set(arrays)]
+    parts = [_split_arrays(spark, json_chunks(spark, arrays))] if arrays else []
+    parts += [_whole_documents(spark, others)] if others else []
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _whole_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Raw feed rows of pages, and of documents that are neither arrays nor pages."""
     documents = _whole_files(spark, paths)
     drop = F.regexp_extract("source_file", DROP, 1)
     pages = documents.filter(F.ltrim("value").startswith("{")).select("source_file", F.from_json("value", PAGE_COUNTS).alias("p"))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sellthrough import schemas as S
 from sellthrough.operators.audit import audit_event
+from sellthrough.operators.coverage import pair_products, week_sums
 from sellthrough.operators.joins import BROADCAST_ROWS
 from sellthrough.operators.totals import control_totals
 from sellthrough.operators.mapping import map_products, source_rows
@@ -38,6 +39,20 @@ def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(S.FACT_SALES).parquet(_stored[key])
 
 
+def _kept(spark: SparkSession, sf: str, name: str, rows: DataFrame) -> DataFrame:
+    """A table that the load keeps beside the fact, written once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf}/{name}")
+    if key not in _stored:
+        path = work_folder(spark, name)
+        rows.write.parquet(path)
+        _stored[key] = path
+    return spark.read.schema(rows.schema).parquet(_stored[key])
+
+
+def week_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _kept(spark, sf, "fact-weeks", week_sums(stored_fact(spark, sf)))
+
+
 def audit(spark: SparkSession, sf: str) -> DataFrame:
     """The loads' log lines: two per feed, later ones minutes apart; every fourth brand's last load failed."""
     no = base.client_no(F.col("client_id"))
@@ -51,7 +66,8 @@ def audit(spark: SparkSession, sf: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf: str) -> Tables:
     return Tables(fact=stored_fact(spark, sf), client=base.clients(spark, sf), retailer=base.retailers(spark, sf),
-                  product=base.products(spark, sf), config=base.feeds(spark, sf), audit=audit(spark, sf))
+                  product=base.products(spark, sf), config=base.feeds(spark, sf), audit=audit(spark, sf),
+                  weeks=week_table(spark, sf), products_sold=_kept(spark, sf, "fact-products", pair_products(stored_fact(spark, sf))))
 
 
 def totals(spark: SparkSession, sf: str, stm: DataFrame, lose_every: int | None = None) -> DataFrame:

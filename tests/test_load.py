@@ -45,6 +45,8 @@ def test_batch_of_feeds_with_one_bad_load_then_restatement(spark, tmp_path):
     assert wh.read("load_files").count() == 2
 
     again = load_folder(wh, landing, stamp="T1", run_date=date(2026, 10, 1))[0]       # replay: same load, nothing new
+    assert rows(wh.read("fact_weeks"), "week_date", "rows", "sales") == [(d("2026-09-19"), 1, money(1)), (d("2026-09-26"), 1, money(2))]
+    assert rows(wh.read("fact_products"), "client_id", "product_id") == [("C101", "C101-A")]
     assert (again.fact_inserted, again.fact_updated) == (2, 0) and wh.read("fact_sales").filter("updated_at > inserted_at").isEmpty()
     with pytest.raises(ValueError, match="after the window end"):
         load_folder(wh, landing, stamp="T2", run_date=date(2026, 10, 1), strict=True)

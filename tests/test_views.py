@@ -1,3 +1,4 @@
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -5,8 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import d, money, rows
 from sellthrough import schemas as S
+from sellthrough.operators import coverage
 from sellthrough.plans import reports, views
-from sellthrough.session import local_rows
+from sellthrough.session import local_rows, materialise
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +45,19 @@ def test_calendar(t):
         d("2026-10-03"), d("2026-09-27"), 4, "Oct 2026", 0)
 
 
+def test_kept_sums_and_products_answer_without_the_fact(spark, t):
+    weeks, products = coverage.week_sums(t.fact), coverage.pair_products(t.fact)
+    kept = replace(t, weeks=materialise(weeks, "w"), products_sold=materialise(products, "p"))
+    blind = replace(kept, fact=t.fact.limit(0))
+    for view in (views.calendar, views.data_freshness):
+        assert rows(view(blind)) == rows(view(t))
+    assert rows(views.fact_coverage(kept)) == rows(views.fact_coverage(t))                  # one product is in no dimension
+    assert rows(reports.all_known_values(blind)) == rows(reports.all_known_values(t))
+    whole = replace(blind, product=t.product.union(local_rows(spark, [("none", "C2", "sku", "S", None, None, "None", "C2 cat", None)], S.PRODUCT)))
+    assert rows(views.fact_coverage(whole), "client_name", "products", "sales") == [("One", 2, money(370)), ("Two", 2, money(14))]
+    assert views.latest_week(kept.weeks).first().latest_week == d("2026-10-03")
+
+
 def test_reports(t):
     assert rows(reports.sales_by_retailer_latest(t)) == [("Shop", money(7))]
     assert rows(reports.period_compare(t, "One", "Shop")) == [(money(270), money(100))]
