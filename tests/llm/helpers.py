@@ -10,7 +10,7 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
                      T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 # Names that operators use for columns of their own.
 CLASHES = ("k", "t", "h", "w", "n", "m", "f", "s", "rep", "group", "key", "size", "weight", "range", "copies", "n_lines", "score", "lang_pred",
-           "digest", "start", "first", "bad_lines", "text_hash", "spans", "edits", "batch")
+           "digest", "start", "first", "bad_lines", "text_hash", "spans", "edits", "batch", "bad_id", "bad_t", "mix_id", "mix_hash", "row", "node", "part", "n_dropped")
 
 WORDS = "amber birch cedar delta ember frost grove heron inlet jetty knoll larch maple north ocean pearl quill ridge stone tulip".split()
 
