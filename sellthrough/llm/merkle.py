@@ -110,13 +110,18 @@ def _attached(nodes: DataFrame, buckets: DataFrame, level: int, p: Manifest) ->
     return rows.select(*nodes.columns, F.concat(own, F.col("path")).alias("path"), "subroot")
 
 
-def _with_paths(leaves: DataFrame, bands: list[DataFrame], over: DataFrame, p: Manifest) -> DataFrame:
-    """The leaves with their path. over: (tree, path, subroot) of what lies above each tree."""
+def _nothing() -> Column:
+    return F.array().cast("array<struct<left:string,right:string>>")
+
+
+def _with_paths(leaves: DataFrame, bands: list[DataFrame], over: DataFrame | None, p: Manifest) -> DataFrame:
+    """The leaves with their path. over: (tree, path, subroot) of what lies above each tree; None if nothing does."""
     above = None
     for k in reversed(range(len(bands))):
         level = k * p.band
         # The rows over a bucket: of the node that it is in the band above, or of its tree if that ends here. One row each.
-        ended = bands[k].filter(_ends(bands, k, p)).select("tree", "bucket").join(over, "tree")
+        ended = bands[k].filter(_ends(bands, k, p)).select("tree", "bucket")
+        ended = ended.join(over, "tree") if over is not None else ended.select("*", _nothing().alias("path"), F.lit("").alias("subroot"))
         parents = ended if above is None else ended.unionByName(
             above.select("tree", F.expr(f"lo div {p.fan ** (level + p.band)}").alias("bucket"), "path", "subroot"))
         buckets = bands[k].join(parents, ["tree", "bucket"])
@@ -179,10 +184,7 @@ def proofs(documents: DataFrame, now: Column, p: Manifest = Manifest()) -> DataF
     changed = leaf_digest(*[now if c == "text" else F.col(c) for c in FIELDS])
     tree = build(documents.select(F.col("doc_id"), F.col("source").cast("string"), leaf.alias("leaf"),
                                   F.when(~now.eqNullSafe(F.col("text")), changed).alias("leaf_now")), p)
-    nothing = F.array().cast("array<struct<left:string,right:string>>")
-    # Above the tree over sources there is nothing; that tree has one name.
-    over = tree.sources.sparkSession.range(1).select(F.lit("").alias("tree"), nothing.alias("path"), F.lit("").alias("subroot"))
-    over = _with_paths(tree.sources.select("tree", "n", "lo", "name", "digest"), tree.source_bands, over, p)
+    over = _with_paths(tree.sources.select("tree", "n", "lo", "name", "digest"), tree.source_bands, None, p)
     over = materialise(over.select(F.col("name").alias("tree"), "path", F.col("digest").alias("subroot")), "over")
     rows = _with_paths(tree.leaves.select("tree", "n", "lo", "doc_id", "leaf", "leaf_now"), tree.bands, over, p)
     siblings = F.array_join(F.transform("path", lambda s: F.concat(s.left, s.right)), "")
