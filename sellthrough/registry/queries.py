@@ -14,6 +14,7 @@ from sellthrough.functions import (
     round_count, round_money, week_ending, week_starting,
 )
 from sellthrough.operators import audit as A, quality, totals as G
+from sellthrough.operators.joins import join_bounded
 from sellthrough.operators.mapping import (
     build_products, build_stm, map_products, merge_levels, rejected_by_pair, rollup, source_rows, unmapped_keys,
 )
@@ -30,11 +31,11 @@ from sellthrough.session import materialise, work_folder
 from sellthrough.sinks import Warehouse
 from sellthrough.sources import (
     active_feeds, api_pages, flatten_pages, json_records, list_feed_files, match_feeds, page_totals, pending_files,
-    read_csv_feed, read_feed_files, decode_workbooks,
+    read_csv_feed, read_feed_files,
 )
 from sellthrough.streaming import ingest
 from sellthrough.testbed import base, feeds, stored
-from sellthrough.testbed.workbooks import encode_workbooks
+from sellthrough.testbed.workbooks import write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -502,8 +503,8 @@ PAGE_RECORDS = 50
 
 
 def _pages(spark, sf) -> DataFrame:
-    """API pages of the sku feeds: at most 50 records each where hashes spread evenly, one cursor chain per feed."""
-    rows = base.sell_rows(spark, sf).filter("product_level = 'sku'")
+    """API pages of all feeds: at most 50 records each where hashes spread evenly, one cursor chain per feed."""
+    rows = base.sell_rows(spark, sf)
     feed = F.concat_ws("_", "client_id", "retailer_id")
     record = F.to_json(F.struct(
         F.col("week_date").cast("string").alias("weekEnding"), F.col("client_id").alias("clientId"),
@@ -512,13 +513,13 @@ def _pages(spark, sf) -> DataFrame:
     lines = rows.select(feed.alias("feed"), record.alias("rec"), "l_orderkey", "l_linenumber")
     counts = lines.groupBy("feed").agg(F.count("*").alias("total"), F.ceil(F.count("*") / PAGE_RECORDS).alias("n_pages"))
     page = F.pmod(F.xxhash64("rec", "l_orderkey", "l_linenumber"), F.col("n_pages"))
-    paged = lines.join(F.broadcast(counts), "feed").groupBy("feed", "total", page.alias("page")).agg(
+    paged = join_bounded(lines, counts, "feed", "inner", base.pair_count(spark, sf)).groupBy("feed", "total", page.alias("page")).agg(
         F.concat_ws(",", F.collect_list("rec")).alias("data"))
     last = paged.groupBy("feed").agg(F.max("page").alias("last_page"))
     cursor = F.when(F.col("page") == F.col("last_page"), "null").otherwise((F.col("page") + 1).cast("string"))
     envelope = F.concat(F.lit('{"data":['), "data", F.lit('],"next_cursor":'), cursor, F.lit(',"total":'),
                         F.col("total").cast("string"), F.lit("}"))
-    return paged.join(F.broadcast(last), "feed").select(
+    return join_bounded(paged, last, "feed", "inner", base.pair_count(spark, sf)).select(
         F.concat("feed", F.lit("_page"), F.col("page").cast("string"), F.lit(".json")).alias("source_file"),
         envelope.alias("value"))
 
@@ -561,38 +562,51 @@ def events_feed(spark, sf):
     return rollup(landing).select("week_date", "retailer_id", "style", "sales", "inventory", "source_rows")
 
 
-def _written(spark, sf, where: str) -> tuple[str, int]:
-    """Folder with the feed files of all rows, one drop per feed."""
-    rows = base.sell_rows(spark, sf).withColumn("file_week", base.newest_week(spark, sf))
-    return stored.write_feed_files(rows.filter(where), work_folder(spark, "feeds"), base.pair_count(spark, sf))
+def _written(spark, sf, **columns) -> str:
+    """Folder with the feed files of all rows, one drop per feed. columns: what shall be different about the rows."""
+    rows = base.sell_rows(spark, sf).withColumn("file_week", base.newest_week(spark, sf)).withColumns(columns)
+    return stored.write_feed_files(rows, work_folder(spark, "feeds"), base.pair_count(spark, sf))
+
+
+def _paths(spark, folder: str) -> list[str]:
+    return [r.source_file for r in pending_files(list_feed_files(spark, folder)).select("source_file").collect()]
 
 
 @query
 def csv_layouts(spark, sf):
-    """CSV files of two layouts, found by name, read in one scan."""
-    folder = _written(spark, sf, "product_level <> 'sku'")
-    paths = [r.source_file for r in pending_files(list_feed_files(spark, folder)).select("source_file").collect()]
-    return _typed_sums(read_csv_feed(spark, paths))
+    """All rows in CSV files of two layouts, found by name, read in one scan."""
+    level = F.col("product_level")
+    folder = _written(spark, sf, product_level=F.when(level == "sku", "style").otherwise(level))
+    return _typed_sums(read_csv_feed(spark, _paths(spark, folder)))
+
+
+@query
+def reader_faults(spark, sf):
+    """All rows in CSV files with line breaks and quotes in their cells, some with cells far beyond the header."""
+    folder = stored.write_noted_files(base.sell_rows(spark, sf).withColumn("file_week", base.newest_week(spark, sf)), work_folder(spark, "feeds"))
+    raw = read_csv_feed(spark, _paths(spark, folder))
+    return raw.groupBy("client_id", "retailer_id").agg(
+        F.count("*").alias("rows"), F.count_if(F.size("raw_cells") > F.size("raw_names")).alias("ragged"), F.sum(F.size("raw_cells")).alias("cells"),
+        F.sum(F.length(F.get("raw_cells", F.lit(stored.NOTE_AT)))).alias("note_chars"), F.sum(parse_money(F.col("sales"))).cast(S.MONEY).alias("sales"))
 
 
 @query
 def json_feed(spark, sf):
-    folder = _written(spark, sf, "product_level = 'sku'")
-    paths = [r.source_file for r in pending_files(list_feed_files(spark, folder)).select("source_file").collect()]
-    return _typed_sums(read_feed_files(spark, {"json": paths}))
+    """All rows as JSON documents."""
+    return _typed_sums(read_feed_files(spark, {"json": _paths(spark, _written(spark, sf, product_level=F.lit("sku")))}))
 
 
 @query
 def workbook_feed(spark, sf):
-    """All sku rows through workbooks of bounded size and back."""
-    rows = base.sell_rows(spark, sf).filter("product_level = 'sku'")
-    return _typed_sums(decode_workbooks(encode_workbooks(rows)))
+    """All rows through workbook files of bounded size and back."""
+    paths = write_workbooks(base.sell_rows(spark, sf), work_folder(spark, "books"))
+    return _typed_sums(read_feed_files(spark, {"xlsx": paths}))
 
 
 @query
 def feed_files_matched(spark, sf):
     """Files below a folder, with their feed and week."""
-    folder = _written(spark, sf, "true")
+    folder = _written(spark, sf)
     rows = match_feeds(pending_files(list_feed_files(spark, folder)), base.feeds(spark, sf), folder)
     return rows.select("pipeline_id", "file_week", "file_format").distinct()
 

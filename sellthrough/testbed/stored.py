@@ -136,3 +136,24 @@ def write_feed_files(rows: DataFrame, folder: str, drop_bound: int) -> str:
     (documents.select(*where, "value").hint("rebalance", *where)
      .write.mode("append").partitionBy(*where).option("maxRecordsPerFile", 1).text(folder))
     return folder
+
+
+NOTED_HEADER = "Week_Date,Client,Retailer,Product_ID,Note,Sales,Inventory"
+NOTE_AT = 4
+
+
+def write_noted_files(rows: DataFrame, folder: str) -> str:
+    """Sell rows (with file_week) as CSV files with a note in each row: some notes go on over lines, hold commas and quotes or a quote that opens nothing;
+    rows with line number 6 have seven cells too many."""
+    no = F.col("l_linenumber")
+    note = F.when(no == 2, '"two\nlines, ""so"""').when(no == 3, '5" pipe').when(no == 4, "").otherwise("plain")
+    line = F.concat_ws(",", F.col("week_date").cast("string"), "client_id", "retailer_id", "serial", note, F.col("sales").cast("string"),
+                       F.concat(F.col("inventory").cast("string"), F.when(no == 6, ",,,,,,,x").otherwise("")))
+    name = F.concat("retailer_id", F.lit("_"), "client_id", F.lit("_"), F.date_format("file_week", "yyyyMMdd"), F.lit(".csv"))
+    where = ["client", "retailer", "drop"]
+    lines = rows.select(F.col("client_id").alias("client"), F.col("retailer_id").alias("retailer"), name.alias("drop"), line.alias("line"))
+    counts = lines.groupBy("drop").agg(F.ceil(F.count("*") / DOCUMENT_RECORDS).alias("documents"))
+    part = F.pmod(F.xxhash64("line"), F.col("documents"))
+    texts = lines.join(counts, "drop").groupBy(*where, part.alias("part")).agg(F.concat_ws("\n", F.lit(NOTED_HEADER), F.collect_list("line")).alias("value"))
+    texts.select(*where, "value").hint("rebalance", *where).write.partitionBy(*where).option("maxRecordsPerFile", 1).text(folder)
+    return folder
