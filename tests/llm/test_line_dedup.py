@@ -1,3 +1,5 @@
+import pytest
+
 from sellthrough.llm.line_dedup import Templates, drop_recurring_lines
 from .helpers import documents, prose, rng
 
@@ -24,15 +26,36 @@ def test_recurring_lines_and_templates_go(spark):
         assert got[i] == (f"{lines[0]}\n{lines[2]}", len(lines), len(lines) - 2)
 
 
-def test_copies_are_left_whole_and_rare_lines_stay(spark):
+@pytest.mark.parametrize("n", [1000, 8000])
+def test_fields_of_many_values_are_fields_at_any_size(spark, n):
+    r = rng(n)
+    first, last = ([f"{kind}{i}" for i in range(400)] for kind in ("Ann", "Berg"))
+    first, last = ([w.translate(str.maketrans("0123456789", "abcdefghij")) for w in x] for x in (first, last))
+    lines = [f"This article was written by {r.choice(first)} {r.choice(last)} for the evening edition of our paper" for _ in range(n)]
+    own = [prose(r, 30) for _ in range(n)]
+    got = run(spark, [(i, f"{own[i]}\n{lines[i]}") for i in range(n)], Templates())
+    assert all(got[i] == (own[i], 2, 1) for i in range(n))
+
+
+def test_footers_of_short_documents_and_short_lines_go(spark):
+    r = rng(6)
+    footer, own = prose(r, 60), [prose(r, 40) for _ in range(50)]
+    got = run(spark, [(i, f"{x}\n{footer}") for i, x in enumerate(own)], Templates())
+    assert all(got[i] == (x, 2, 1) for i, x in enumerate(own))
+    got = run(spark, [(i, f"Read more\n{x}\nCookie Policy\n...\n版權所有") for i, x in enumerate(own)], Templates())
+    assert all(got[i] == (x, 5, 4) for i, x in enumerate(own))
+
+
+def test_copies_do_not_make_their_lines_recur_but_lose_what_does(spark):
     r = rng(5)
-    shared = [prose(r, 12) for _ in range(4)]
-    copies = [(i, "\n".join([*shared, prose(r, 3)])) for i in range(8)]
+    shared = [prose(r, 12) for _ in range(6)]
+    copies = [(i, "\n".join([*shared, prose(r, 3), "Imprint and contact"])) for i in range(8)]
     rare = [(10 + i, "\n".join([prose(r, 30), "Seen three times only"])) for i in range(3)]
     equal = [(20 + i, "Same text here\n" + shared[0][:5] + " x y z") for i in range(9)]  # one document, however often
-    rows = copies + rare + equal
-    got = run(spark, rows)
-    assert all(got[i][0] == text and got[i][2] == 0 for i, text in rows)
+    others = [(40 + i, f"{prose(r, 30)}\nImprint and contact") for i in range(4)]
+    got = run(spark, copies + rare + equal + others)
+    assert all(got[i][0] == text and got[i][2] == 0 for i, text in rare + equal)
+    assert all(got[i][0] == text.rsplit("\n", 1)[0] and got[i][2] == 1 for i, text in copies + others)
 
 
 def test_odd_rows(spark):
