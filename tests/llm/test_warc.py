@@ -2,7 +2,7 @@ import base64
 import gzip
 import hashlib
 
-from sellthrough.llm.warc import captures, parse_records, read_archives, write_archives
+from sellthrough.llm.warc import captures, parse_records, problems, read_archives, write_archives
 from sellthrough.session import work_folder
 from .helpers import prose, rng, with_clashes
 
@@ -50,4 +50,42 @@ def test_foreign_archives():
     two = one.replace(b"x:1", b"x:2")
     assert [r["id"] for r in parse_records(gzip.compress(one) + gzip.compress(two))] == ["<urn:x:1>", "<urn:x:2>"]
     assert [r["block"] for r in parse_records(one + two)] == [b"abcd"] * 2
-    assert list(parse_records(b"")) == [] == list(parse_records(b"WARC/1.0\r\ncut off"))
+    assert list(parse_records(b"")) == []
+
+
+def test_broken_archives_are_told_and_read_as_far_as_they_go(spark, tmp_path):
+    good = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:%d>\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: %d\r\n\r\nHTTP/1.1 200\r\n\r\nabcd\r\n\r\n"
+    length = len(b"HTTP/1.1 200\r\n\r\nabcd")
+    one, two, other = good % (1, sha("abcd").encode(), length), good % (2, sha("abcd").encode(), length), good % (3, sha("else").encode(), length)
+
+    def told(data):
+        return [(r["id"], r["problem"]) for r in parse_records(data)]
+
+    assert told(one[:40]) == [(None, "the header of a record is cut off")]
+    assert told(one.replace(b"Content-Length: %d" % length, b"Content-Length: 4x") + two) == [(None, "a record has no length that can be read: '4x'"), ("<urn:x:2>", None)]
+    assert told(one + two[:-10])[1] == ("<urn:x:2>", "the block of a record is cut off")
+    assert [x for x, _ in told(gzip.compress(one) + b"rubbish" + gzip.compress(two))] == ["<urn:x:1>", None, "<urn:x:2>"]
+    assert told(gzip.compress(one) + gzip.compress(two)[:-12])[0] == ("<urn:x:1>", None)
+    assert told(gzip.compress(one) + gzip.compress(two)[:-12])[-1][1] == "a gzip member is cut off"
+    broken = bytearray(gzip.compress(one))
+    broken[15:30] = b"\xff" * 15
+    assert [x for x, _ in told(bytes(broken) + gzip.compress(two))][-1] == "<urn:x:2>" and told(bytes(broken))[-1][1].startswith("a gzip member is broken")
+    for n, data in enumerate((one + other, gzip.compress(two)[:-12])):
+        (tmp_path / f"part-{n}").write_bytes(data)
+    for blocks in (True, False):
+        read = read_archives(spark, str(tmp_path), blocks)
+        assert sorted((r.capture_id, r.payload_digest, r.damaged) for r in captures(read).collect())[::2] == [("<urn:x:1>", sha("abcd"), False), ("<urn:x:3>", sha("abcd"), True)]
+        assert [tuple(r) for r in problems(read).filter("problem like '%gzip%'").collect()] == [("a gzip member is cut off", 1)]
+
+
+def test_same_as_plain_assembly(spark):
+    r = rng(12)
+    kinds = [prose(r, n) for n in (0, 1, 3, 3, 40)] + ["é", None]
+    rows = [(i if r.random() < 0.95 else i // 2, r.choice([f"http://h/{i}?q=ü", None, "no url", "http://[bad"]), r.choice(kinds)) for i in range(400)]
+    least = {}
+    for page, _, html in rows:
+        least[html or ""] = min(page, least.get(html or "", page))
+    want = sorted((page, len((html or "").encode()), sha(html), "response" if least[html or ""] == page else "revisit", None if least[html or ""] == page else least[html or ""])
+                  for page, _, html in rows)
+    got = sorted(((x.page_id, x.payload_bytes, x.payload_digest, x.record_type, x.refers_to) for x in run(spark, rows).collect()), key=lambda x: x[:4])
+    assert got == want and not any(x.damaged for x in run(spark, rows).collect())
