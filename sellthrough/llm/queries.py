@@ -33,7 +33,7 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "archives")
     write_archives(_table(spark, sf_dir, "pages"), path)
-    return captures(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return captures(read_archives(spark, path, blocks=False)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,24 +157,27 @@ WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 l AS (SELECT text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM t),
 w AS (
     SELECT text, place, line, regexp_extract_all(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS w FROM l),
-seen AS (SELECT DISTINCT text, w FROM w WHERE len(w) >= 3),
+seen AS (SELECT DISTINCT text, w FROM w WHERE len(w) > 0),
 lines AS (SELECT len(w) AS size, w[1:3] AS head, w, count(*) AS n FROM seen GROUP BY w),
-leaves AS (SELECT size, head FROM lines GROUP BY size, head HAVING sum(n) >= 10),
-each AS (SELECT size, head, w, n, unnest(w) AS token, generate_subscripts(w, 1) AS place FROM lines JOIN leaves USING (size, head)),
-fixed AS (SELECT size, head, place, token FROM each GROUP BY size, head, place, token HAVING sum(n) >= 10),
-kept AS (
-    SELECT size, head, w, n, list({'p': place, 't': token} ORDER BY place) AS template, count(*) AS fixed
-    FROM each JOIN fixed USING (size, head, place, token) GROUP BY size, head, w, n HAVING count(*) >= 0.8 * size),
-often AS (SELECT size, head, template FROM kept GROUP BY size, head, template HAVING sum(n) >= 10),
-bad AS (SELECT w FROM lines WHERE n >= 10 UNION SELECT w FROM kept JOIN often USING (size, head, template)),
+each AS (SELECT size, head, w, n, unnest(w) AS token, generate_subscripts(w, 1) AS place FROM lines),
+counted AS (SELECT *, sum(n) OVER (PARTITION BY size, head, place, token) AS times FROM each),
+-- All but a fifth of a line's tokens, without its rarest ones.
+fixed AS (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY w ORDER BY times, place) > size // 5),
+named AS (SELECT w, {'size': any_value(size), 'head': any_value(head), 'fixed': list({'p': place, 't': token} ORDER BY place)} AS template FROM fixed GROUP BY w),
+often AS (SELECT template FROM seen JOIN named USING (w) GROUP BY template HAVING count(*) >= 10),
+first_bad AS (SELECT w FROM lines WHERE n >= 10 UNION SELECT w FROM named JOIN often USING (template)),
+speaking AS (
+    SELECT text FROM seen LEFT JOIN (SELECT w, true AS bad FROM first_bad) USING (w) GROUP BY text
+    HAVING 100 * coalesce(sum(len(w)) FILTER (bad IS NULL), 0) >= 20 * sum(len(w))),
+heard AS (SELECT seen.* FROM seen JOIN speaking USING (text)),
+often2 AS (SELECT template FROM heard JOIN named USING (w) GROUP BY template HAVING count(*) >= 10),
+bad AS (SELECT w FROM heard GROUP BY w HAVING count(*) >= 10 UNION SELECT w FROM named JOIN often2 USING (template)),
 marked AS (SELECT w.*, bad.w IS NOT NULL AS bad FROM w LEFT JOIN bad ON w.w = bad.w),
-summed AS (
-    SELECT text, sum(len(w)) AS words, coalesce(sum(len(w)) FILTER (bad), 0) AS bad_words, count(*) FILTER (len(w) > 0) AS n_lines,
-           count(*) FILTER (bad) AS n_dropped, string_agg(line, chr(10) ORDER BY place) FILTER (NOT bad) AS kept
-    FROM marked GROUP BY text),
-judged AS (SELECT *, bad_words * 2 <= words AND n_dropped > 0 AS strip FROM summed)
-SELECT doc_id, CASE WHEN strip THEN coalesce(kept, '') ELSE documents.text END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-       CAST(CASE WHEN strip THEN n_dropped ELSE 0 END AS BIGINT) AS n_dropped
+judged AS (
+    SELECT text, count(*) FILTER (len(w) > 0) AS n_lines, count(*) FILTER (bad) AS n_dropped, string_agg(line, chr(10) ORDER BY place) FILTER (NOT bad) AS kept
+    FROM marked GROUP BY text)
+SELECT doc_id, CASE WHEN n_dropped > 0 THEN coalesce(kept, '') ELSE documents.text END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped
 FROM documents LEFT JOIN judged ON documents.text = judged.text
 """
 
@@ -207,9 +210,122 @@ m AS (
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, CAST(copies AS BIGINT) AS copies FROM m
 """
 
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length({0}) + 1), lambda i: CAST(ord({0}[i]) AS BIGINT))),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+_DOC_CRC = _CRC.format("CAST(doc_id AS VARCHAR)")
+
+
+def _hashed(text: str) -> str:
+    """SHA-256 over a row's fields, its text given."""
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+# idx: place in a level of n nodes.
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (
+    SELECT *, row_number() OVER () AS row_no, {_hashed('text')} AS leaf,
+           {_hashed(f"CASE WHEN {_DOC_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS leaf_now FROM documents),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d),
+nodes AS (
+    SELECT source, 0 AS level, r AS idx, leaf AS digest, n FROM leaves
+    UNION ALL
+    SELECT source, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY source, level, idx // 3, n),
+roots AS (
+    SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (
+    SELECT 0 AS level, r AS idx, subroot AS digest, n FROM roots
+    UNION ALL
+    SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY level, idx // 3, n),
+families AS (
+    SELECT row_no, level AS step, idx, digest, leaves.r // CAST(power(3, level) AS BIGINT) AS own
+    FROM leaves JOIN nodes ON leaves.source IS NOT DISTINCT FROM nodes.source AND nodes.n > 1
+                          AND idx // 3 = leaves.r // CAST(power(3, level + 1) AS BIGINT)
+    UNION ALL
+    SELECT row_no, 1000 + level, idx, digest, roots.r // CAST(power(3, level) AS BIGINT)
+    FROM leaves JOIN roots ON leaves.source IS NOT DISTINCT FROM roots.source JOIN top ON top.n > 1 AND idx // 3 = roots.r // CAST(power(3, level + 1) AS BIGINT)),
+paths AS (
+    SELECT row_no, row_number() OVER (PARTITION BY row_no ORDER BY step) AS step, coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS lefts,
+           coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS rights
+    FROM families GROUP BY row_no, step),
+folds AS (
+    SELECT row_no, 0 AS step, leaf_now AS digest FROM leaves
+    UNION ALL
+    SELECT folds.row_no, paths.step, sha256(lefts || digest || rights) FROM folds JOIN paths ON folds.row_no = paths.row_no AND paths.step = folds.step + 1),
+folded AS (SELECT row_no, arg_max(digest, step) AS folded_root FROM folds GROUP BY row_no),
+proofs AS (SELECT row_no, string_agg(lefts || rights, '' ORDER BY step) AS proof FROM paths GROUP BY row_no)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN roots ON leaves.source IS NOT DISTINCT FROM roots.source JOIN folded USING (row_no) LEFT JOIN proofs USING (row_no)
+     CROSS JOIN (SELECT digest AS root FROM top WHERE n = 1)
+"""
+
+# Every lag of a word to an earlier place of it; lags that hold for consecutive words are a match.
+OP12_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w, {_DOC_CRC} AS h FROM documents),
+g AS (SELECT row_no, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 % 8 AS e FROM d),
+words AS (
+    SELECT row_no, n, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + e)) + 1] ELSE w[i + 1] END AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM g)),
+cells AS (
+    SELECT x.row_no, x.i, x.i - y.i AS lag FROM words x JOIN words y ON x.row_no = y.row_no AND x.word = y.word AND x.i > y.i AND 4 * (x.i - y.i) <= x.n),
+matches AS (
+    SELECT row_no, lag, min(i) - lag AS start, count(*) + lag AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY row_no, lag ORDER BY i) AS island FROM cells)
+    GROUP BY row_no, lag, island HAVING count(*) + lag >= greatest(6, 4 * lag)),
+runs AS (SELECT row_no, start, length, min(lag) AS period FROM matches GROUP BY row_no, start, length),
+summed AS (
+    SELECT row_no, count(*) AS n_runs, arg_min({{'s': start, 'm': length, 'q': period}}, {{'m': -length, 's': start, 'q': period}}) AS best,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY row_no),
+kept AS (
+    SELECT row_no, string_agg(word, ' ' ORDER BY i) AS collapsed
+    FROM words WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.row_no = words.row_no AND i >= start + period AND i < start + length) GROUP BY row_no)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.m AS length, best.q AS period, 1000 * best.m // best.q AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM g LEFT JOIN summed USING (row_no) LEFT JOIN kept USING (row_no)
+"""
+
+
+def _linked_sql(width: int, percent: int, kept: str = "") -> str:
+    """Components of documents whose sets of word shingles are similar, from the counts of common shingles of all pairs that have one."""
+    return rf"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT row_no, array_to_string(w[s:s + least({width}, len(w)) - 1], ' ') AS x
+    FROM (SELECT *, unnest(range(1, len(w) - least({width}, len(w)) + 2)) AS s FROM d WHERE len(w) > 0)),
+sizes AS (SELECT row_no, count(*) AS n, bit_xor(hash(x)) AS set_hash FROM shingles GROUP BY row_no),
+-- Equal sets are one class, which its first row stands for.
+classes AS (SELECT n, set_hash, min(row_no) AS row_no FROM sizes GROUP BY n, set_hash),
+common AS (
+    SELECT a.row_no AS a, b.row_no AS b, count(*) AS shared FROM (SELECT * FROM shingles SEMI JOIN classes USING (row_no)) a
+    JOIN (SELECT * FROM shingles SEMI JOIN classes USING (row_no)) b ON a.x = b.x AND a.row_no < b.row_no GROUP BY a.row_no, b.row_no),
+links AS (
+    SELECT a, b FROM common JOIN sizes p ON p.row_no = a JOIN sizes q ON q.row_no = b WHERE 100 * shared >= {percent} * (p.n + q.n - shared)),
+edges AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+    UNION SELECT row_no, row_no FROM classes),
+-- Documents of a class, whose ids name it.
+reach AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+ids AS (SELECT classes.row_no AS class, sizes.row_no, d.doc_id FROM classes JOIN sizes USING (n, set_hash) JOIN d ON d.row_no = sizes.row_no),
+least_id AS (SELECT a AS class, min(doc_id) AS component_id FROM reach JOIN ids ON ids.class = reach.b GROUP BY a)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(least_id.component_id, d.doc_id) AS component_id{kept}
+FROM d LEFT JOIN sizes USING (row_no) LEFT JOIN ids USING (row_no) LEFT JOIN least_id USING (class)
+"""
+
+
+OP3_SQL = _linked_sql(4, 80, ", coalesce(least_id.component_id, d.doc_id) = d.doc_id AS kept")
+OP13_SQL = _linked_sql(3, 90)
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": OP1_SQL,
+    "op3_minhash_near_dedup": OP3_SQL,
     "op7_chat_formatting": OP7_SQL,
     "op8_log_template_lines": OP8_SQL,
     "op10_mixing_to_weights": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_periodic_runs": OP12_SQL,
+    "op13_ngram_jaccard_join": OP13_SQL,
 }

@@ -3,10 +3,11 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sellthrough.llm.queries import ORACLES, QUERIES
-from .helpers import components, prose, rng, word_words
+from .helpers import components, prose, rng, with_clashes, word_words
 
 EN, FR = "amber birch cedar delta ember frost grove heron inlet jetty".split(), "éclat rivière forêt château neige été hiver fleur".split()
 
@@ -53,6 +54,18 @@ def test_stages(spark, folder):
     assert taken[None] == 3 * sizes[None] and abs(taken["a"] - (total - taken[None]) / 3) < 110 and abs(taken["b"] - (total - taken[None]) * 2 / 3) < 110
 
 
+def test_columns_of_any_name_pass_and_empty_tables_work(spark, folder, tmp_path):
+    docs = with_clashes(spark.read.parquet(f"{folder}/documents.parquet").limit(40)).withColumn("quality", F.lit("clash"))
+    own = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars", "copies")]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+        assert docs.count() and docs.select(*own).distinct().collect() == [tuple("clash" for _ in own)], name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for table in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_is_the_stages_in_order(spark, folder):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "mixing"]
     found = corpus_pipeline.run(spark, folder)
