@@ -8,11 +8,12 @@
 4. Members of keys are compared by whole signatures in tasks of bounded size (see `blocks`): each with the smallest class that it shares a key
    with, then what is still apart in blocks. Tasks return spanning forests of close pairs, never the pairs. Their components are clusters: all
    links lie within one.
-5. The same again within clusters, now with texts: close pairs are confirmed on the full sets unless they are linked already. The components of
+5. The same again within clusters, now with texts: the pairs of those forests, then what is still apart in blocks, are confirmed on the full
+   sets unless they are linked already. The components of
    confirmed links are the result, so no link between components is lost, and a group of copies makes as many rows as it has members.
 
-With 12 chunks of 5 symbols and one error all pairs with up to 23 differing symbols of 60 meet for certain; a pair of similarity
-0.8 differs in 12 on average, and misses all keys with a chance of 1e-7. Of 128 symbols it differs in 26, in more than 48 with one of 1e-6."""
+With 25 chunks of 5 symbols and one error all pairs with up to 49 differing symbols of 125 meet for certain; a pair of similarity
+0.8 differs in 25 on average, and misses all keys with a chance of 3e-15. Of 128 symbols it differs in 26, in more than 64 with one of 7e-15."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -38,11 +39,11 @@ class NearDupes:
     block: shingles of the members that are compared at once with texts (each counts `row` more)."""
     width: int = 5
     percent: int = 80
-    chunks: int = 12
+    chunks: int = 25
     symbols: int = 5
     errors: int = 1
     size: int = 128
-    far: int = 48
+    far: int = 64
     signed: int = 4096
     block: int = 250_000
     row: int = 500
@@ -169,23 +170,32 @@ class _Block:
         label[rows] = rows[first][back]
         sets: dict[int, np.ndarray] = {}
 
-        def confirmed(one: int, two: int) -> bool:
+        def texts(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = self._set(row)
+            return sets[row]
+
+        def confirmed(one: int, some: np.ndarray) -> np.ndarray:
             if self.texts is None:
-                return True
-            for row in (one, two):
-                if row not in sets:
-                    sets[row] = self._set(row)
-            x, y = sets[one], sets[two]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * both >= self.p.percent * (len(x) + len(y) - both)
-
-        for row in left:
+                return np.ones(len(some), bool)
+            x, ys = texts(one), [texts(other) for other in some.tolist()]
+            sizes, items = np.array([len(y) for y in ys]), np.concatenate(ys)
+            same = x[np.minimum(np.searchsorted(x, items), len(x) - 1)] == items
+            both = np.add.reduceat(same, np.cumsum(sizes) - sizes, dtype=np.int64)
+            return 100 * both >= self.p.percent * (len(x) + sizes - both)
+
+        for row in left.tolist():
             others = right[label[right] != label[row]]
             good, apart = _allowed(self.signs, self.sizes, row, others, self.p)
-            for other in others[good][np.argsort(apart[good], kind="stable")]:
-                if label[other] != label[row] and confirmed(int(row), int(other)):
-                    yield int(self.nodes[row]), int(self.nodes[other])
-                    label[rows[label[rows] == label[other]]] = label[row]
+            others, many = others[good][np.argsort(apart[good], kind="stable")], 1
+            while len(others):  # more at once the longer none is linked
+                some = others[:many]
+                for other in some[confirmed(row, some)].tolist():
+                    if label[other] != label[row]:
+                        yield int(self.nodes[row]), int(self.nodes[other])
+                        label[rows[label[rows] == label[other]]] = label[row]
+                others, many = others[many:], many * 2
+                others = others[label[others] != label[row]]
 
 
 def _forests(tasks: DataFrame, facts: DataFrame, weight: Column, block: int, p: NearDupes) -> DataFrame:
@@ -243,11 +253,11 @@ def near_duplicates(documents: DataFrame, p: NearDupes = NearDupes()) -> DataFra
     texts = texts.join(wanted, same).select("node", "cluster", "n_shingles", "signature", "text")
     texts = materialise(texts.dropDuplicates(["node"]), "texts")
     weight = F.col("n_shingles") + p.row
-    tasks = star_tasks(close.select(F.col("b").alias("node"), F.col("a").alias("low")), texts.select("node", weight.alias("weight")), p.block)
+    tasks = star_tasks(near.select(F.col("b").alias("node"), F.col("a").alias("low")), texts.select("node", weight.alias("weight")), p.block)
     links = _forests(tasks, texts.drop("cluster"), weight, p.block, p)
     parts = connected_components(links).withColumnRenamed("component", "part")
     labelled = texts.select("node", "cluster", weight.alias("weight")).join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    # Of two members, one has asked for the other.
+    # Of two members, one has asked for the other, as the link that made them a cluster is a task whichever step found it.
     mixed = labelled.groupBy("cluster").agg(F.min("part").alias("one"), F.max("part").alias("two"), F.count("*").alias("n")).filter("one < two and n > 2")
     labelled = materialise(labelled.join(mixed.select("cluster"), "cluster", "left_semi"), "labelled")
     links = links.union(_forests(block_tasks(labelled, p.block), texts.drop("cluster"), weight, p.block, p))

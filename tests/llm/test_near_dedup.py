@@ -38,6 +38,21 @@ def test_texts_of_one_id_lose_no_link(spark):
     assert sorted({(d, c) for d, _, c, _ in answer(spark, rows)}) == [(1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_two_texts_that_share_keys_with_a_smaller_third_lose_no_link(spark):
+    rows = []
+    for k in range(8):  # the third holds both of them, but is far longer
+        w = prose(rng(k), 200).split()
+        rows += [(3 * k + 1, " ".join(w)), (3 * k + 2, " ".join(w[:120] + ["one"])), (3 * k + 3, " ".join(w[:120] + ["two"]))]
+    assert {d: (n, c) for d, n, c, _ in answer(spark, rows)} == components(rows)
+
+
+def test_pairs_at_the_threshold_whose_signatures_differ_most(spark):
+    rows = []
+    for k in (49677, 650066, 2954197, 6091348):  # found among eight million: 49 or 50 of 128 symbols differ
+        rows += [(k, " ".join(map(str, range(k, k + 8)))), (k + 1, " ".join(map(str, range(k, k + 7))))]
+    assert {d: (n, c) for d, n, c, _ in answer(spark, rows)} == components(rows)
+
+
 def test_odd_rows(spark):
     long = prose(rng(2), 120_000)
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (5, "ONE  two"), (None, "one two"), (6, "two one"),
