@@ -6,8 +6,8 @@
    `chunks * (errors + 1) - 1` symbols, then by pigeonhole they differ in at most `errors` symbols of some chunk. The allowed errors are
    enumerated by leaving out each choice of `errors` positions: signatures that agree on what is left meet under one key.
 4. Members of keys are compared by whole signatures in tasks of bounded size (see `blocks`): each with the smallest class that it shares a key
-   with, then what is still apart in blocks. Tasks return spanning forests of close pairs, never the pairs. Their components are clusters: all
-   links lie within one.
+   with, then what is still apart, in its key if that is small, else in blocks. Tasks return spanning forests of close pairs, never the pairs.
+   Their components are clusters: all links lie within one.
 5. The same again within clusters, now with texts: the pairs of those forests, then what is still apart in blocks, are confirmed on the full
    sets unless they are linked already. The components of
    confirmed links are the result, so no link between components is lost, and a group of copies makes as many rows as it has members.
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sellthrough.llm.blocks import block_tasks, component_ids, document_links, open_members, shared_keys, smallest_partners, star_tasks
+from sellthrough.llm.blocks import block_tasks, component_ids, document_links, open_tasks, shared_keys, smallest_partners, star_tasks
 from sellthrough.llm.bytewords import mix, shingle_sets, slices
 from sellthrough.llm.graph import connected_components
 from sellthrough.llm.joins import join_split
@@ -36,7 +36,7 @@ from sellthrough.session import materialise
 class NearDupes:
     """width: words of a shingle. percent: least similarity. chunks, symbols, errors: the join's part of the signature. size: symbols of the
     signature; far: pairs with more differing ones aren't compared. signed: members that are compared at once by signatures (a megabyte holds 8192).
-    block: shingles of the members that are compared at once with texts (each counts `row` more)."""
+    few: members up to which a key is small. block: shingles of the members that are compared at once with texts (each counts `row` more)."""
     width: int = 5
     percent: int = 80
     chunks: int = 25
@@ -45,6 +45,7 @@ class NearDupes:
     size: int = 128
     far: int = 64
     signed: int = 4096
+    few: int = 64
     block: int = 250_000
     row: int = 500
 
@@ -217,6 +218,14 @@ def _forests(tasks: DataFrame, facts: DataFrame, weight: Column, block: int, p:
     return materialise(packed.groupBy("pack").applyInArrow(run, "a long, b long"), "links")
 
 
+def _one_a_part(links: DataFrame, parts: DataFrame) -> DataFrame:
+    """One of the links (a, b) between each two parts, as tasks of several keys find the same."""
+    for x in "ab":
+        links = links.join(parts.select(F.col("node").alias(x), F.col("part").alias(f"part_{x}")), x, "left").withColumn(f"part_{x}", F.coalesce(f"part_{x}", x))
+    both = [F.least("part_a", "part_b").alias("x"), F.greatest("part_a", "part_b").alias("y")]
+    return materialise(links.groupBy(*both).agg(F.min(F.struct("a", "b")).alias("link")).select("link.*"), "near")
+
+
 def near_duplicates(documents: DataFrame, p: NearDupes = NearDupes()) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach) and kept (it is that document).
 
@@ -235,11 +244,11 @@ def near_duplicates(documents: DataFrame, p: NearDupes = NearDupes()) -> DataFra
     signed = signed.drop("keys")
     partners = smallest_partners(members)
     close = materialise(_close_pairs(partners.select(F.col("low").alias("a"), F.col("node").alias("b")), signed, p), "close")
-    apart = open_members(members, partners, connected_components(close).withColumnRenamed("component", "part"))
+    parts = connected_components(close).withColumnRenamed("component", "part")
+    tasks = open_tasks(members, partners, parts, p.signed, p.few)
     near = close
-    if apart is not None:
-        one = F.lit(1)
-        near = close.union(_forests(block_tasks(apart.withColumn("weight", one), p.signed), signed, one, p.signed, p))
+    if tasks is not None:
+        near = close.union(_one_a_part(_forests(tasks, signed, F.lit(1), p.signed, p), parts))
     clusters = connected_components(near).withColumnRenamed("component", "cluster")
 
     # Links, by texts.
