@@ -159,14 +159,17 @@ def read_csv_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
     if plain:
         cells = [f"c{i}" for i in range(width or 1)]
         read = (spark.read.schema(", ".join(f"{c} string" for c in cells)).options(header=True, quote='"', escape='"', encoding="UTF-8").csv(plain))
-        parts.append(read.select(F.col("_metadata.file_path").alias("source_file"), F.array(*cells).alias("cells"), F.lit(None).cast("string").alias("problem")))
+        last = F.greatest(F.lit(0), F.lit(0), *[F.when(F.col(c) != "", i + 1) for i, c in enumerate(cells)])
+        parts.append(read.select(F.col("_metadata.file_path").alias("source_file"), F.array(*[F.coalesce(c, F.lit("")) for c in cells]).alias("cells"),
+                                 last.alias("last"), F.lit(None).cast("string").alias("problem")))
     if whole:
         records = stitched_records(csv_lines(spark, sorted(whole))).filter("record_no <> 1")
-        parts.append(records.select("source_file", record_cells(F.col("record")).alias("cells"), "problem"))
+        records = records.select("source_file", record_cells(F.col("record")).alias("cells"), "problem")
+        last = F.coalesce(F.array_max(F.transform("cells", lambda c, i: F.when(c != "", i + 1))), F.lit(0))
+        parts.append(records.select("source_file", F.transform("cells", lambda c: F.coalesce(c, F.lit(""))).alias("cells"), last.alias("last"), "problem"))
     joined = join_bounded(reduce(DataFrame.unionByName, parts), layouts, "source_file", "inner", files)
     joined = joined.withColumn("layout_error", F.coalesce("layout_error", "problem"))
     # Up to the header's width, or to the last cell beyond it that holds something.
-    beyond = F.array_max(F.transform("cells", lambda c, i: F.when(c != "", i + 1)))
-    missing = F.array_repeat(F.lit(""), F.greatest(F.size("names") - F.size("cells"), F.lit(0)))
-    kept = F.slice(F.concat("cells", missing), F.lit(1), F.greatest(F.size("names"), F.coalesce(beyond, F.lit(0))))
-    return from_cells(joined.withColumn("cells", F.transform(kept, lambda c: F.coalesce(c, F.lit("")))))
+    width, size = F.greatest(F.size("names"), F.col("last")), F.size("cells")
+    kept = F.when(width <= size, F.slice("cells", F.lit(1), width)).otherwise(F.concat("cells", F.array_repeat(F.lit(""), F.greatest(width - size, F.lit(0)))))
+    return from_cells(joined.withColumn("cells", kept))

@@ -2,7 +2,8 @@
 
 An array is read by as many tasks as its file has splits. The reader cuts text at every closing brace, which ends most records; whether a brace
 ends one depends on what stands before it: an open string, or an outer object. Both are sums over all text before (of quotes and of braces outside
-strings), so they are added up within each split and then over the splits of a file, see `array_records`. Pages are small and are read whole."""
+strings), so they are added up within each split and then over the splits of a file, see `array_records`. A file whose chunks all look like records
+that follow each other needs no such sums, see `file_shapes`. Pages are small and are read whole."""
 from __future__ import annotations
 
 from functools import reduce
@@ -58,11 +59,37 @@ def json_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("chunk_no"), "value")
 
 
-def first_characters(spark: SparkSession, chunks: DataFrame) -> DataFrame:
-    """(source_file, begins): the first character of each file that is no white space; none for a blank one."""
-    heads = chunks.filter("split = 0").groupBy("source_file").agg(F.min("chunk_no").alias("chunk_no"))
-    first = F.substring(F.ltrim(F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")), 1, 1)
-    return chunks.join(F.broadcast(heads), ["source_file", "chunk_no"]).select("source_file", first.alias("begins"))
+# Outside strings, a chunk that is one record without braces of its own, after the array's bracket or a comma; and what follows the last one.
+_FIRST_RECORD = r'^[\s\x{FEFF}]*\[\s*\{[^{"\\]*$'
+_NEXT_RECORD = r'^\s*,\s*\{[^{"\\]*$'
+_END = r"^\s*\]\s*$"
+
+
+def file_shapes(chunks: DataFrame) -> DataFrame:
+    """(source_file, is_array, is_flat): whether the first character of each file that is no white space opens an array, and whether every chunk of it
+    is a record, the array's end coming last. While all chunks before are records, each begins outside of strings and braces, so no order of
+    reading is needed to tell."""
+    outside = F.regexp_replace("value", rf'(?s)"{_IN_STRING}"', "")
+    is_first, is_next, is_end = outside.rlike(_FIRST_RECORD), outside.rlike(_NEXT_RECORD), F.col("value").rlike(_END)
+    kind = F.when(is_next, 0).when(is_first, 1).when(is_end, 2).otherwise(3)
+    first = F.ascii(F.ltrim(F.regexp_replace("value", r"^[\s\x{FEFF}]+", "")))
+    rows = chunks.select("source_file", "split", "chunk_no", kind.alias("kind"), first.alias("first"))
+    no = F.col("chunk_no")
+    splits = rows.groupBy("source_file", "split").agg(
+        F.min(no).alias("low"), F.max(no).alias("high"), F.min_by("first", no).alias("first"), F.count_if(F.col("kind") == 3).alias("others"),
+        F.count_if(F.col("kind") == 1).alias("firsts"), F.count_if(F.col("kind") == 2).alias("ends"),
+        F.min(F.when(F.col("kind") == 1, no)).alias("first_no"), F.max(F.when(F.col("kind") == 2, no)).alias("end_no"))
+    opens, closes = F.min_by(F.col("first_no") == F.col("low"), "split"), F.max_by(F.col("end_no") == F.col("high"), "split")
+    flat = (F.sum("others") == 0) & (F.sum("firsts") == 1) & (F.sum("ends") == 1) & opens & closes
+    is_array = (F.min("split") == 0) & (F.min_by("first", "split") == ord("["))
+    return splits.groupBy("source_file").agg(is_array.alias("is_array"), F.coalesce(flat, F.lit(False)).alias("is_flat"))
+
+
+def flat_records(chunks: DataFrame) -> DataFrame:
+    """`array_records` of flat files."""
+    text = F.concat(F.substring("value", F.instr("value", "{"), F.length("value")), F.lit("}"))
+    rows = chunks.filter(F.contains("value", F.lit("{"))).select("source_file", F.from_json(text, "map<string,string>").alias("record"))
+    return rows.withColumn("problem", F.when(F.col("record").isNull(), F.lit(NO_RECORDS)))
 
 
 def array_records(chunks: DataFrame) -> DataFrame:
@@ -108,10 +135,11 @@ def array_records(chunks: DataFrame) -> DataFrame:
     return rows.filter("ends = 1 or problem is not null").select("source_file", "record", "problem")
 
 
-def _split_arrays(spark: SparkSession, chunks: DataFrame) -> DataFrame:
-    """Raw feed rows of array files. The headers of a file are settled once, from the distinct ones of its records."""
-    rows = materialise(array_records(chunks), "json-array")
-    names = rows.select("source_file", F.explode(F.map_keys("record")).alias("header")).distinct()
+def _split_arrays(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Raw feed rows of array files' records. The headers of a file are settled once, from the distinct ones of its records."""
+    rows = materialise(records, "json-array")
+    keys = rows.select("source_file", F.map_keys("record").alias("keys")).distinct()
+    names = keys.select("source_file", F.explode("keys").alias("header")).distinct()
     headers = names.groupBy("source_file").agg(F.sort_array(F.collect_list("header")).alias("headers"))
     files = materialise(headers.withColumn("names", F.transform("headers", lambda h: standard_name(h))), "json-headers")
     at = [F.array_position("names", F.lit(c)).cast("int") for c in FEED_COLUMNS]
@@ -141,10 +169,11 @@ def read_json_feed(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Raw feed rows of all documents. API pages of a drop whose records are not all there are a fault of that drop."""
     if not paths:
         return empty_feed(spark)
-    begins = {r.source_file: r.begins for r in first_characters(spark, json_chunks(spark, paths)).collect()}
-    arrays = sorted({reader_path(f) for f, c in begins.items() if c == "["})
-    others = [p for p in paths if p not in set(arrays)]
-    parts = [_split_arrays(spark, json_chunks(spark, arrays))] if arrays else []
+    shapes = file_shapes(json_chunks(spark, paths)).filter("is_array").collect()
+    flat, nested = (sorted({reader_path(r.source_file) for r in shapes if r.is_flat == x}) for x in (True, False))
+    others = [p for p in paths if p not in {*flat, *nested}]
+    parts = [_split_arrays(spark, flat_records(json_chunks(spark, flat)))] if flat else []
+    parts += [_split_arrays(spark, array_records(json_chunks(spark, nested)))] if nested else []
     parts += [_whole_documents(spark, others)] if others else []
     return reduce(DataFrame.unionByName, parts)
 

@@ -12,7 +12,7 @@ from sellthrough.operators.mapping import map_products, source_rows
 from sellthrough.operators.upsert import merge_source
 from sellthrough.plans.stage import stage
 from sellthrough.plans.views import Tables
-from sellthrough.session import work_folder
+from sellthrough.session import materialise, release, work_folder
 from sellthrough.testbed import base
 
 _stored: dict[tuple[str, str], str] = {}
@@ -114,7 +114,8 @@ def feed_lines(rows: DataFrame) -> DataFrame:
 def write_feed_files(rows: DataFrame, folder: str, drop_bound: int) -> str:
     """Write sell rows (with file_week) as feed files, a folder per drop:
     <folder>/client=<id>/retailer=<id>/drop=<name>/part-*. At most `drop_bound` drops."""
-    lines = feed_lines(rows)
+    # Written once, as the rows' joins would else run for each format.
+    lines = materialise(feed_lines(rows), "feed-lines")
     where = ["client", "retailer", "drop"]
     for level in ("serial", "style"):
         # The text writer has no header, the CSV writer would quote the prepared line: a header of one column named
@@ -135,6 +136,7 @@ def write_feed_files(rows: DataFrame, folder: str, drop_bound: int) -> str:
                  .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("line")), F.lit("]")).alias("value")))
     (documents.select(*where, "value").hint("rebalance", *where)
      .write.mode("append").partitionBy(*where).option("maxRecordsPerFile", 1).text(folder))
+    release(lines)
     return folder
 
 

@@ -1,4 +1,5 @@
 """Records of JSON arrays read in splits, compared with a reader of the whole text."""
+import glob
 import json
 import random
 
@@ -8,7 +9,8 @@ from conftest import rows
 from test_csv_records import small_splits  # noqa: F401
 from test_sources import put
 from sellthrough import sources
-from sellthrough.sources.json_feed import NO_RECORDS, array_records, json_chunks
+from sellthrough.session import shared_folder
+from sellthrough.sources.json_feed import NO_RECORDS, array_records, file_shapes, flat_records, json_chunks
 
 
 def value(r):
@@ -52,3 +54,27 @@ def test_broken_arrays_are_faults(spark, tmp_path):
     faulty = {x.f: x.layout_error for x in raw.filter("layout_error is not null").collect()}
     assert faulty == dict.fromkeys("abcde", NO_RECORDS) | {"h": "two columns mean style"}
     assert rows(raw.filter("f in ('f', 'g', 'i')"), "f", "style") == [("i", "ok")]
+
+
+def test_flat_arrays_are_read_without_sums_over_their_text(spark, tmp_path, small_splits):
+    r, flat, other = random.Random(5), [], []
+    for n in range(8):
+        made = [{k: r.choice([None, 1, True, "", "a, [b]", '"', "\\", "é", "plain text"]) for k in r.sample(["a", "b c", 'd"'], r.randrange(0, 4))} for _ in range(r.choice([1, 2, 40]))]
+        flat.append(put(tmp_path, f"flat{n}.json", " \n" * (n % 3) + json.dumps(made, ensure_ascii=n % 2 == 0, indent=r.choice([None, 1])) + "\n" * (n % 2)))
+    flat.append(put(tmp_path, "unread.json", '[{"a": 1}, {"a": x}, {"a": 3}]'))
+    texts = ['[{"a": "}"}]', '[{"a": {"b": 1}}]', '[{"a": "1"}', '[{"a": "1"} {"a": "2"}]', '[{"a": "1"}] ]', '[{"a": "1"}], {"a": "2"}]', '[{"a": "1}, {"b": 2}]', "[]", "",
+             '[{"a": "1"}][{"a": "2"}]', ', {"a": "1"}, {"a": "2"}]', '[{"a": "1"}, {\\"a": "2"}]', '{"a": "1"}', "ś[", '[{"a": "{"}, {"b": "["}, [{"c": 1}]']
+    for n, text in enumerate(texts):
+        other.append(put(tmp_path, f"other{n}.json", text))
+    shapes = {x.source_file.rsplit("/", 1)[-1]: x for x in file_shapes(json_chunks(spark, flat + other)).collect()}
+    assert all(shapes[f.rsplit("/", 1)[-1]].is_flat for f in flat)
+    assert not any(x.is_flat for f, x in shapes.items() if f.startswith("other"))
+    assert {f for f, x in shapes.items() if not x.is_array} == {"other10.json", "other12.json", "other13.json"}
+
+    def records(found):
+        return sorted((x.source_file, x.problem or "", json.dumps(x.record, sort_keys=True)) for x in found.collect())
+
+    assert records(flat_records(json_chunks(spark, flat))) == records(array_records(json_chunks(spark, flat)))
+    known = set(glob.glob(f"{shared_folder(spark)}/sellthrough/json-depth-*"))
+    assert sources.read_json_feed(spark, flat).count() > 40
+    assert set(glob.glob(f"{shared_folder(spark)}/sellthrough/json-depth-*")) == known
